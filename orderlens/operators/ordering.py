@@ -22,41 +22,72 @@ def same(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> Column:
     return reduce(lambda x, y: x & y, pairs)
 
 
-def cumulative_weight(
-    cells: DataFrame, value: str, weight: str, by: list[str], bucket: str, prefix: str = ""
-) -> DataFrame:
-    """Add the weight at or below each value, and the total, per ``by`` group.
-
-    ``cells`` holds distinct values with their weight; ``bucket`` must grow
-    with ``value``. The new columns are ``<prefix>at_or_below`` and
-    ``<prefix>total``.
-    """
+def _offsets(cells: DataFrame, weight: str, by: list[str], bucket: str) -> DataFrame:
+    """Per bucket: weight inside, weight in the buckets before, group total."""
     keys = [*by, bucket]
-    inside = cells.groupBy(*keys).agg(F.sum(weight).alias("in_bucket"))
+    inside = cells.groupBy(*keys).agg(F.sum(weight).alias("inside"))
     earlier = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = inside.select(
+    return inside.select(
         *[F.col(k).alias(f"offset_{k}") for k in keys],
-        F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)).alias("below"),
-        F.sum("in_bucket").over(Window.partitionBy(*by)).alias(f"{prefix}total"),
+        "inside",
+        F.coalesce(F.sum("inside").over(earlier), F.lit(0)).alias("below"),
+        F.sum("inside").over(Window.partitionBy(*by)).alias("total"),
     )
+
+
+def _at_or_below(
+    cells: DataFrame, offsets: DataFrame, value: str, weight: str, by: list[str], bucket: str
+) -> DataFrame:
+    keys = [*by, bucket]
     running = (
         Window.partitionBy(*keys)
         .orderBy(value)
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     joined = cells.join(offsets, same(cells, offsets, {k: f"offset_{k}" for k in keys}))
-    return joined.withColumn(
-        f"{prefix}at_or_below", F.col("below") + F.sum(weight).over(running)
-    ).drop("below", *[f"offset_{k}" for k in keys])
+    return joined.withColumn("at_or_below", F.col("below") + F.sum(weight).over(running))
 
 
-def quantile(value: str, percent: int) -> Column:
-    """Smallest value covering ``percent`` of the weight.
+def with_rank(
+    cells: DataFrame, value: str, weight: str, by: list[str], bucket: str, name: str
+) -> DataFrame:
+    """Add the descending rank of each value per ``by`` group, ties sharing the best place.
+
+    ``cells`` holds distinct values with their weight; ``bucket`` must grow
+    with ``value``.
+    """
+    placed = _at_or_below(cells, _offsets(cells, weight, by, bucket), value, weight, by, bucket)
+    rank = (F.col("total") - F.col("at_or_below") + 1).cast("bigint")
+    return placed.select(*cells.columns, rank.alias(name))
+
+
+def quantiles(
+    cells: DataFrame,
+    value: str,
+    weight: str,
+    by: list[str],
+    bucket: str,
+    percents: dict[str, int],
+) -> DataFrame:
+    """Smallest value covering each percentage of the weight, per ``by`` group.
 
-    An aggregate over the output of :func:`cumulative_weight`.
+    Only the buckets that hold a wanted position are read value by value. A
+    group without weight has no row. NULL values must have no weight.
     """
-    reached = F.col("at_or_below") * 100 >= F.greatest(F.col("total") * percent, F.lit(1))
-    return F.min(F.when(reached, F.col(value)))
+    offsets = _offsets(cells, weight, by, bucket)
+    needed = {
+        name: F.greatest(F.col("total") * percent, F.lit(1)) for name, percent in percents.items()
+    }
+    through = F.col("below") + F.col("inside")
+    holds = [(F.col("below") * 100 < n) & (through * 100 >= n) for n in needed.values()]
+    wanted = offsets.filter(reduce(lambda a, b: a | b, holds))
+    placed = _at_or_below(cells, wanted, value, weight, by, bucket)
+    return placed.groupBy(*by).agg(
+        *[
+            F.min(F.when(F.col("at_or_below") * 100 >= n, F.col(value))).alias(name)
+            for name, n in needed.items()
+        ]
+    )
 
 
 def value_buckets(df: DataFrame, value: str, rows: int, rows_per_bucket: int) -> DataFrame:
@@ -70,8 +101,3 @@ def value_buckets(df: DataFrame, value: str, rows: int, rows_per_bucket: int) ->
         relativeError=0.001,
     ).fit(sized.filter(F.col(value).isNotNull()))
     return split.transform(sized).drop("bucket_value")
-
-
-def rank_from(prefix: str = "") -> Column:
-    """Descending rank, ties sharing the best place."""
-    return (F.col(f"{prefix}total") - F.col(f"{prefix}at_or_below") + 1).cast("bigint")

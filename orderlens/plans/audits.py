@@ -29,7 +29,7 @@ from orderlens.operators.durations import (
     VALID,
     classified_durations,
 )
-from orderlens.operators.ordering import cumulative_weight, quantile
+from orderlens.operators.ordering import quantiles
 from orderlens.operators.rows import one_row, recognized_items, with_copies
 from orderlens.plans.views import STATUSES, recognized_by_month
 from orderlens.sources import RetailTables
@@ -52,14 +52,30 @@ def _reversed_events() -> list[Column]:
 # --- volume and status profiles -------------------------------------------
 
 
+# A scan that counts one kind of distinct value reads only that column and
+# combines equal values before the shuffle; several kinds in one scan would
+# multiply every row instead.
+def _distinct(df: DataFrame, column: str, name: str) -> DataFrame:
+    return df.agg(F.countDistinct(column).alias(name))
+
+
 def orders_overview(orders: DataFrame) -> DataFrame:
-    return orders.agg(
-        F.count("*").alias("total_orders"),
-        F.countDistinct("order_id").alias("unique_order_ids"),
-        F.countDistinct("user_id").alias("unique_customers"),
-        F.sum("num_of_item").alias("total_items"),
-        F.min("created_at").alias("first_order_at"),
-        F.max("created_at").alias("latest_order_at"),
+    return one_row(
+        orders.agg(
+            F.count("*").alias("total_orders"),
+            F.countDistinct("order_id").alias("unique_order_ids"),
+            F.sum("num_of_item").alias("total_items"),
+            F.min("created_at").alias("first_order_at"),
+            F.max("created_at").alias("latest_order_at"),
+        ),
+        _distinct(orders, "user_id", "unique_customers"),
+    ).select(
+        "total_orders",
+        "unique_order_ids",
+        "unique_customers",
+        "total_items",
+        "first_order_at",
+        "latest_order_at",
     )
 
 
@@ -70,12 +86,20 @@ def order_status_counts(orders: DataFrame) -> DataFrame:
 
 def order_items_profile(items: DataFrame) -> DataFrame:
     """Item-table size and gross item value, whatever the status."""
-    return items.agg(
-        F.count("*").alias("order_item_rows"),
-        F.countDistinct("id").alias("unique_order_item_ids"),
-        F.countDistinct("order_id").alias("unique_orders"),
-        F.countDistinct("product_id").alias("unique_products"),
-        round2(F.sum(money(items, "sale_price"))).alias("gross_item_value"),
+    return one_row(
+        items.agg(
+            F.count("*").alias("order_item_rows"),
+            F.countDistinct("order_id").alias("unique_orders"),
+            round2(F.sum(money(items, "sale_price"))).alias("gross_item_value"),
+        ),
+        _distinct(items, "id", "unique_order_item_ids"),
+        _distinct(items, "product_id", "unique_products"),
+    ).select(
+        "order_item_rows",
+        "unique_order_item_ids",
+        "unique_orders",
+        "unique_products",
+        "gross_item_value",
     )
 
 
@@ -133,64 +157,66 @@ def key_uniqueness(tables: RetailTables) -> DataFrame:
 
 
 def product_join_coverage(items: DataFrame, products: DataFrame) -> DataFrame:
-    """How many rows an item-to-product left join yields and matches."""
-    known = with_copies(products, F.col("id").alias("matched_id"))
-    joined = items.select("id", "product_id").join(
-        known, F.col("product_id") == F.col("matched_id"), "left"
+    """How many rows an item-to-product left join yields and matches.
+
+    Items are counted per product first, so no product is a hot join key.
+    """
+    sold = items.groupBy("product_id").agg(F.count("*").alias("rows"))
+    known = with_copies(products, F.col("id").alias("known_product"))
+    joined = sold.join(known, F.col("product_id") == F.col("known_product"), "left")
+    rows, copies = F.col("rows"), F.col("copies")
+    counts = joined.agg(
+        F.coalesce(F.sum(rows * F.coalesce(copies, F.lit(1))), F.lit(0)).alias("joined_rows"),
+        sum_if(copies.isNotNull(), rows * copies).alias("matched_product_rows"),
+        sum_if(copies.isNull(), rows).alias("unmatched_product_rows"),
     )
-    matched = F.col("matched_id").isNotNull()
-    return joined.agg(
-        F.sum(F.coalesce("copies", F.lit(1))).alias("joined_rows"),
-        F.countDistinct("id").alias("unique_order_item_ids"),
-        sum_if(matched, F.col("copies")).alias("matched_product_rows"),
-        count_if(~matched).alias("unmatched_product_rows"),
+    # A left join keeps every item, so its distinct ids are those of the items.
+    ids = _distinct(items, "id", "unique_order_item_ids")
+    return one_row(counts, ids).select(
+        "joined_rows", "unique_order_item_ids", "matched_product_rows", "unmatched_product_rows"
     )
 
 
 def referential_integrity(tables: RetailTables) -> DataFrame:
     """Items without a parent row, and items that disagree with their order.
 
-    Repeated rows are joined as counts. Items are collapsed to their product
-    before the product join, so that a best-seller is not a hot key there.
+    Repeated parent rows are joined as counts. Orders and products are grouped
+    by more than the join key: the join then shuffles both sides itself, and a
+    hot key can be split at run time. Items are collapsed per user before the
+    user join, where both sides are unique.
     """
-    items = with_copies(tables.order_items, "order_id", "product_id", "user_id", "status")
     orders = with_copies(
         tables.orders,
         F.col("order_id").alias("parent_id"),
         F.col("user_id").alias("parent_user"),
         F.col("status").alias("parent_status"),
-    ).withColumnRenamed("copies", "parents")
-    users = with_copies(tables.users, F.col("id").alias("known_user")).withColumnRenamed(
-        "copies", "user_rows"
-    )
-    products = with_copies(tables.products, F.col("id").alias("known_product"))
+    ).withColumnRenamed("copies", "order_rows")
+    products = with_copies(
+        tables.products, F.col("id").alias("known_product"), "category"
+    ).withColumnRenamed("copies", "product_rows")
+    users = with_copies(tables.users, F.col("id").alias("known_user"))
 
+    items = tables.order_items.select("order_id", "product_id", "user_id", "status")
     joined = items.join(orders, items["order_id"] == orders["parent_id"], "left").join(
-        users, items["user_id"] == users["known_user"], "left"
-    )
-    rows = (
-        F.col("copies")
-        * F.coalesce("parents", F.lit(1))
-        * F.coalesce("user_rows", F.lit(1))
+        products, items["product_id"] == products["known_product"], "left"
     )
+    rows = F.coalesce("order_rows", F.lit(1)) * F.coalesce("product_rows", F.lit(1))
     has_order = F.col("parent_id").isNotNull()
     flags = {
         "order_item_rows": F.lit(True),
         "items_without_order": ~has_order,
-        "items_without_user": F.col("known_user").isNull(),
+        "items_without_product": F.col("known_product").isNull(),
         "item_order_user_mismatches": has_order & (F.col("user_id") != F.col("parent_user")),
         "item_order_status_mismatches": has_order & (F.col("status") != F.col("parent_status")),
     }
-    by_product = joined.groupBy("product_id").agg(
+    per_user = joined.groupBy("user_id").agg(
         *[sum_if(condition, rows).alias(name) for name, condition in flags.items()]
     )
-    checked = by_product.join(
-        products, by_product["product_id"] == products["known_product"], "left"
-    )
-    product_rows = F.coalesce("copies", F.lit(1))
-    totals = {name: F.coalesce(F.sum(F.col(name) * product_rows), F.lit(0)) for name in flags}
-    totals["items_without_product"] = sum_if(
-        F.col("known_product").isNull(), F.col("order_item_rows")
+    checked = per_user.join(users, per_user["user_id"] == users["known_user"], "left")
+    user_rows = F.coalesce("copies", F.lit(1))
+    totals = {name: F.coalesce(F.sum(F.col(name) * user_rows), F.lit(0)) for name in flags}
+    totals["items_without_user"] = sum_if(
+        F.col("known_user").isNull(), F.col("order_item_rows")
     )
     return checked.agg(*[total.alias(name) for name, total in totals.items()])
 
@@ -304,18 +330,16 @@ def price_distribution(items: DataFrame, products: DataFrame) -> DataFrame:
         .withColumn("priced_rows", F.when(price.isNull(), 0).otherwise(rows))
         .withColumn("hundreds", F.floor(price / 100))
     )
-    placed = cumulative_weight(cells, "sale_price", "priced_rows", [], "hundreds")
-    return placed.agg(
+    counts = cells.agg(
         F.coalesce(F.sum(rows), F.lit(0)).alias("order_item_rows"),
         sum_if(price < 1, rows).alias("items_below_one_dollar"),
         sum_if(price < 5, rows).alias("items_below_five_dollars"),
         sum_if(price > 500, rows).alias("items_above_five_hundred_dollars"),
         sum_if(F.col("differs"), rows).alias("sale_retail_price_differences"),
-        *[
-            round2(quantile("sale_price", percent)).alias(f"sale_price_{label}")
-            for percent, label in ((1, "p01"), (50, "median"), (99, "p99"))
-        ],
     )
+    percents = {"sale_price_p01": 1, "sale_price_median": 50, "sale_price_p99": 99}
+    points = quantiles(cells, "sale_price", "priced_rows", [], "hundreds", percents)
+    return one_row(counts, points.select(*[round2(F.col(c)).alias(c) for c in percents]))
 
 
 # --- foundations of the views ---------------------------------------------
@@ -343,7 +367,10 @@ def retention_foundation(items: DataFrame, as_of: date) -> DataFrame:
 
 
 def product_foundation(items: DataFrame, products: DataFrame, as_of: date) -> DataFrame:
-    """Recognized items against product attributes, and the source totals."""
+    """Recognized items against product attributes, and the source totals.
+
+    Items are collapsed per product before the join.
+    """
     attributes = with_copies(
         products,
         F.col("id").alias("known_product"),
@@ -351,34 +378,48 @@ def product_foundation(items: DataFrame, products: DataFrame, as_of: date) -> Da
         "name",
         money(products, "cost").alias("cost"),
     )
-    sold = recognized_items(items, as_of).select(
-        "id", "product_id", money(items, "sale_price").alias("price")
+    sold = recognized_items(items, as_of).withColumn("price", money(items, "sale_price"))
+    price, cost = F.col("price"), F.col("cost")
+    sales = sold.groupBy("product_id").agg(
+        F.count("*").alias("rows"),
+        F.count(price).alias("priced_rows"),
+        count_if(price < 0).alias("negative_rows"),
+        F.sum(price).alias("revenue"),
     )
-    joined = (
-        sold.join(attributes, F.col("product_id") == F.col("known_product"), "left")
-        .withColumn("copies", F.coalesce("copies", F.lit(1)))
-        .withColumn("profit", F.col("price") - F.col("cost"))
+    joined = sales.join(
+        attributes, F.col("product_id") == F.col("known_product"), "left"
+    ).withColumn("copies", F.coalesce("copies", F.lit(1)))
+    joined = joined.withColumn(
+        "profit", F.col("revenue") - times(joined, "cost", F.col("priced_rows"))
     )
-    copies, cost, price = F.col("copies"), F.col("cost"), F.col("price")
+    copies = F.col("copies")
+    rows = F.col("rows") * copies
 
     def blank(name: str) -> Column:
         return F.col(name).isNull() | (F.trim(name) == "")
 
-    return joined.agg(
-        F.coalesce(F.sum(copies), F.lit(0)).alias("completed_item_rows"),
-        F.countDistinct("id").alias("unique_completed_item_ids"),
-        sum_if(F.col("known_product").isNull(), copies).alias("unmatched_product_rows"),
-        sum_if(blank("category"), copies).alias("missing_category_rows"),
-        sum_if(blank("name"), copies).alias("missing_product_name_rows"),
-        sum_if(cost.isNull(), copies).alias("missing_product_cost_rows"),
-        sum_if(cost < 0, copies).alias("negative_product_cost_rows"),
-        sum_if(price.isNull(), copies).alias("missing_sale_price_rows"),
-        sum_if(price < 0, copies).alias("negative_sale_price_rows"),
+    checked = joined.agg(
+        F.coalesce(F.sum(rows), F.lit(0)).alias("completed_item_rows"),
+        sum_if(F.col("known_product").isNull(), rows).alias("unmatched_product_rows"),
+        sum_if(blank("category"), rows).alias("missing_category_rows"),
+        sum_if(blank("name"), rows).alias("missing_product_name_rows"),
+        sum_if(cost.isNull(), rows).alias("missing_product_cost_rows"),
+        sum_if(cost < 0, rows).alias("negative_product_cost_rows"),
+        F.coalesce(
+            F.sum((F.col("rows") - F.col("priced_rows")) * copies), F.lit(0)
+        ).alias("missing_sale_price_rows"),
+        F.coalesce(F.sum(F.col("negative_rows") * copies), F.lit(0)).alias(
+            "negative_sale_price_rows"
+        ),
         F.countDistinct("category").alias("categories"),
         F.countDistinct("product_id").alias("products_sold"),
-        round2(F.sum(times(joined, "price", copies))).alias("source_recognized_revenue"),
+        round2(F.sum(times(joined, "revenue", copies))).alias("source_recognized_revenue"),
         round2(F.sum(times(joined, "profit", copies))).alias("source_estimated_gross_profit"),
     )
+    first, *others = checked.columns
+    return one_row(checked, _distinct(sold, "id", "unique_completed_item_ids")).select(
+        first, "unique_completed_item_ids", *others
+    )
 
 
 def order_operations_foundation(orders: DataFrame, as_of: date) -> DataFrame:
@@ -456,10 +497,8 @@ def order_duration_foundation(orders: DataFrame, as_of: date) -> DataFrame:
         .agg(F.count("elapsed_seconds").alias("valid"))
         .withColumn("hour", F.floor(seconds / 3600))
     )
-    placed = cumulative_weight(cells, "elapsed_seconds", "valid", ["duration_type"], "hour")
-    quantiles = placed.groupBy("duration_type").agg(
-        quantile("elapsed_seconds", 50).alias("median"),
-        quantile("elapsed_seconds", 90).alias("p90"),
+    middle = quantiles(
+        cells, "elapsed_seconds", "valid", ["duration_type"], "hour", {"median": 50, "p90": 90}
     )
 
     def days(value: Column) -> Column:
@@ -467,7 +506,7 @@ def order_duration_foundation(orders: DataFrame, as_of: date) -> DataFrame:
 
     accounted = sum((F.col(name) for name in outcomes), F.lit(0))
     return (
-        counts.join(quantiles, "duration_type")
+        counts.join(middle, "duration_type", "left")
         .select(
             "duration_type",
             "candidate_orders",

@@ -21,13 +21,7 @@ from orderlens.operators.durations import (
     VALID,
     classified_durations,
 )
-from orderlens.operators.ordering import (
-    cumulative_weight,
-    quantile,
-    rank_from,
-    same,
-    value_buckets,
-)
+from orderlens.operators.ordering import quantiles, same, value_buckets, with_rank
 from orderlens.operators.rows import eligible_orders, recognized_items, with_copies
 from orderlens.session import materialize
 from orderlens.sources import RetailTables
@@ -284,12 +278,12 @@ def _ranked_in_buckets(totals: DataFrame, rows: int, rows_per_sort: int) -> Data
     keys = ["category", "recognized_revenue"]
     cells = totals.groupBy(*keys).agg(F.count("*").alias("products"))
     cells = value_buckets(cells, "recognized_revenue", rows, rows_per_sort)
-    for by, prefix in (([], "all_"), (["category"], "category_")):
-        cells = cumulative_weight(cells, "recognized_revenue", "products", by, "bucket", prefix)
+    for by, name in (([], "overall_revenue_rank"), (["category"], "category_revenue_rank")):
+        cells = with_rank(cells, "recognized_revenue", "products", by, "bucket", name)
     ranks = cells.select(
         *[F.col(k).alias(f"cell_{k}") for k in keys],
-        rank_from("all_").alias("overall_revenue_rank"),
-        rank_from("category_").alias("category_revenue_rank"),
+        "overall_revenue_rank",
+        "category_revenue_rank",
     )
     revenue = F.sum("recognized_revenue")
     categories = totals.groupBy(F.col("category").alias("of_category")).agg(
@@ -401,7 +395,6 @@ def monthly_order_durations(orders: DataFrame, as_of: date) -> DataFrame:
         .withColumn("valid", F.when(F.col("outcome") == VALID, F.col("orders")).otherwise(0))
         .withColumn("hour", F.floor(F.col("elapsed_seconds") / 3600))
     )
-    placed = cumulative_weight(cells, "elapsed_seconds", "valid", keys, "hour")
     n, outcome, seconds = F.col("orders"), F.col("outcome"), F.col("elapsed_seconds")
 
     def with_outcome(name: str) -> Column:
@@ -410,18 +403,19 @@ def monthly_order_durations(orders: DataFrame, as_of: date) -> DataFrame:
     def days(value: str) -> Column:
         return F.col(value) / SECONDS_PER_DAY
 
-    totals = placed.groupBy(*keys).agg(
+    totals = cells.groupBy(*keys).agg(
         F.sum(n).alias("ended_orders"),
         F.sum("valid").alias("valid_duration_orders"),
         with_outcome(MISSING_START).alias("missing_start_orders"),
         with_outcome(REVERSED).alias("reversed_timestamp_orders"),
         F.sum(F.when(seconds == 0, n).otherwise(0)).alias("zero_duration_orders"),
         F.sum(seconds * n).alias("seconds"),
-        quantile("elapsed_seconds", 50).alias("median"),
-        quantile("elapsed_seconds", 90).alias("p90"),
         F.max(seconds).alias("longest"),
     )
-    return totals.select(
+    middle = quantiles(
+        cells, "elapsed_seconds", "valid", keys, "hour", {"median": 50, "p90": 90}
+    )
+    return totals.join(middle, keys, "left").select(
         *keys,
         "ended_orders",
         "valid_duration_orders",
