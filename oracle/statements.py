@@ -122,7 +122,7 @@ PARTS: dict[str, str] = {
               FROM (SELECT *, {r2('revenue')} AS rev FROM per_month))""",
     "category_performance": f"""
         SELECT c.category,
-          (SELECT count(*) + 1 FROM per_category o WHERE o.revenue > c.revenue) AS revenue_rank,
+          rank() OVER (ORDER BY c.revenue DESC NULLS LAST) AS revenue_rank,
           c.orders AS completed_orders, c.items AS completed_items,
           {r2('c.revenue')} AS recognized_revenue, {r2('c.profit')} AS estimated_gross_profit,
           {pct('c.profit', 'c.revenue')} AS gross_margin_pct,
@@ -132,10 +132,11 @@ PARTS: dict[str, str] = {
         SELECT category, count(DISTINCT order_id) AS orders, count(*) AS items,
           sum(sale_price) AS revenue, sum(profit) AS profit
         FROM sold_products GROUP BY category""",
+    "purchases": """
+        SELECT user_id, order_id, sum(sale_price) AS spent FROM sold GROUP BY ALL""",
     "buyers": """
-        SELECT u.id, count(DISTINCT s.order_id) AS orders,
-          coalesce(sum(s.sale_price), 0) AS revenue
-        FROM usr u LEFT JOIN sold s ON s.user_id = u.id GROUP BY u.id""",
+        SELECT u.id, count(p.order_id) AS orders, coalesce(sum(p.spent), 0) AS revenue
+        FROM usr u LEFT JOIN purchases p ON p.user_id = u.id GROUP BY u.id""",
     "customer_segments": f"""
         SELECT CASE least(orders, 2) WHEN 0 THEN 'No completed purchases'
                WHEN 1 THEN 'One-time customer' ELSE 'Repeat customer' END AS customer_segment,
@@ -195,10 +196,15 @@ PARTS: dict[str, str] = {
           sum(sale_price) AS recognized_revenue, sum(cost) AS estimated_product_cost,
           sum(profit) AS estimated_gross_profit
         FROM sold_products GROUP BY ALL""",
+    "by_product": """
+        SELECT product_id, category, count(*) AS completed_items,
+          sum(sale_price) AS recognized_revenue, sum(profit) AS estimated_gross_profit
+        FROM sold_products GROUP BY product_id, category""",
     "product_performance": f"""
         SELECT product_id, product_name, category,
-          rank() OVER (ORDER BY recognized_revenue DESC) AS overall_revenue_rank,
-          rank() OVER (PARTITION BY category ORDER BY recognized_revenue DESC)
+          rank() OVER (ORDER BY recognized_revenue DESC NULLS LAST) AS overall_revenue_rank,
+          rank() OVER (PARTITION BY category
+            ORDER BY recognized_revenue DESC NULLS LAST)
             AS category_revenue_rank,
           completed_orders, completed_items, recognized_revenue, estimated_product_cost,
           estimated_gross_profit,
@@ -261,7 +267,8 @@ READS = {
     "monthly_revenue": ["per_month"],
     "per_category": ["sold_products"],
     "category_performance": ["per_category"],
-    "buyers": ["usr", "sold"],
+    "purchases": ["sold"],
+    "buyers": ["usr", "purchases"],
     "customer_segments": ["buyers"],
     "month_series": ["per_month"],
     "month_windows": ["month_series"],
@@ -271,6 +278,7 @@ READS = {
     "cohort_sizes": ["joined_in"],
     "customer_retention_cohorts": ["cohort_sizes", "visits"],
     "per_product": ["sold_products"],
+    "by_product": ["sold_products"],
     "product_performance": ["per_product"],
     "created": ["ord"],
     "monthly_order_status": ["created"],
@@ -572,10 +580,10 @@ def check_selects() -> dict[str, tuple[str, str, str]]:
 
     def compared(view: str) -> str:
         return f"""
-            SELECT count(*) AS categories_compared, {n_if('''coalesce(
-                x.category <> c.category OR x.items <> c.completed_items
-                OR abs(x.revenue - c.recognized_revenue) > 0.01
-                OR abs(x.profit - c.estimated_gross_profit) > 0.01, true)''')}
+            SELECT count(*) AS categories_compared, {n_if('''(x.category = c.category) IS NOT TRUE
+                OR x.items <> c.completed_items
+                OR greatest(abs(x.revenue - c.recognized_revenue),
+                            abs(x.profit - c.estimated_gross_profit)) > 0.01''')}
               AS category_mismatches
             FROM (SELECT category, sum(completed_items) AS items,
                     sum(recognized_revenue) AS revenue, sum(estimated_gross_profit) AS profit
@@ -778,8 +786,8 @@ def check_selects() -> dict[str, tuple[str, str, str]]:
             "category_view_estimated_gross_profit",
         ),
         "product_reconcile": (
-            "per_product category_performance",
-            product_check("per_product", "", "", "product_totals_match_source"),
+            "by_product category_performance",
+            product_check("by_product", "", "", "product_totals_match_source"),
             product_money,
         ),
         "product_view_reconcile": (
