@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from orderlens.operators.rows import recognized_items
 from orderlens.plans import audits, checks
 from orderlens.plans.views import build_views
 from orderlens.session import materialize
@@ -27,13 +28,27 @@ VIEW_TOTALS = {
 }
 
 
-def pin_tables(tables: RetailTables) -> RetailTables:
-    """Copy the source once, so that a whole run reads the same rows.
+def pin_items(items: DataFrame, as_of: date) -> DataFrame:
+    """Store the recognized items once, with the columns views and checks read.
 
-    For sources that change while a run is going on. Unchanging files or a
-    versioned table need no copy.
+    All parts of a check then see the same rows of a changing source, and the
+    work of reading them is done once. Reports on recognized items give the
+    same result on the stored rows as on the whole table.
     """
-    return RetailTables(**{n: materialize(df, f"source-{n}") for n, df in tables.named().items()})
+    columns = ("id", "order_id", "user_id", "product_id", "status", "delivered_at", "sale_price")
+    return materialize(recognized_items(items, as_of).select(*columns), "recognized-items")
+
+
+def pin_tables(tables: RetailTables, as_of: date) -> RetailTables:
+    """Store everything the views and checks read, as of one moment."""
+    events = [f"{event}_at" for event in audits.EVENTS]
+    orders = tables.orders.select("order_id", "user_id", "status", *events)
+    return RetailTables(
+        orders=materialize(orders, "orders"),
+        order_items=pin_items(tables.order_items, as_of),
+        products=materialize(tables.products, "products"),
+        users=materialize(tables.users.select("id"), "users"),
+    )
 
 
 def pin_views(views: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -104,9 +119,9 @@ def verdicts(check: str, result: DataFrame) -> DataFrame:
     ).select("check_name", "scope", "rule.*")
 
 
-def validate_all(tables: RetailTables, as_of: date, pin_source: bool = False) -> DataFrame:
-    """Build the views once and list every rule with its outcome."""
-    source = pin_tables(tables) if pin_source else tables
+def validate_all(tables: RetailTables, as_of: date) -> DataFrame:
+    """Read the source once, build the views once, list every rule with its outcome."""
+    source = pin_tables(tables, as_of)
     views = pin_views(build_views(source, as_of))
     results = run_checks(source, views, as_of)
     return reduce(DataFrame.unionByName, [verdicts(n, df) for n, df in results.items()])

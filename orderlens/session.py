@@ -25,6 +25,41 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# One shuffle partition per this much input, and no more than a shuffle can
+# keep track of.
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 32_768
+UNKNOWN_BYTES = 1 << 60
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SIZED = "orderlens.shuffles.sized"
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files behind a frame, as the optimizer knows it; unknown counts 0."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
+def size_shuffles(spark: SparkSession, *tables: DataFrame) -> None:
+    """Start shuffles with enough partitions for the input.
+
+    Adaptive execution merges small ones afterwards. A number chosen by the
+    user stays, and so does the configured one where it is large enough.
+    """
+    chosen = spark.conf.get(INITIAL_PARTITIONS, None)
+    if chosen is not None and chosen != spark.conf.get(SIZED, None):
+        return
+    total = sum(input_bytes(t) for t in tables)
+    wanted = min(-(-total // PARTITION_BYTES), MOST_PARTITIONS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+        spark.conf.set(SIZED, str(wanted))
+    elif chosen is not None:
+        spark.conf.unset(INITIAL_PARTITIONS)
+        spark.conf.unset(SIZED)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 

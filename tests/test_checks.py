@@ -15,7 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    return validation.pin_tables(map_test_tables(spark, SMALL))
+    return validation.pin_tables(map_test_tables(spark, SMALL), DAY)
 
 
 @pytest.fixture(scope="module")

@@ -46,20 +46,11 @@ def dirty(request, tmp_path_factory):
     return folder, con
 
 
-def dirty_session(spark, folder):
-    session = object.__new__(registry.Session)
-    session.tables = load_files(spark, folder)
-    session.items = session.tables.order_items
-    session.orders = session.tables.orders
-    session.products = session.tables.products
-    return session
-
-
 @pytest.mark.parametrize("name", NAMES)
 def test_dirty_tables(spark, dirty, name, monkeypatch):
     folder, con = dirty
     for part, table in TABLES.items():
         monkeypatch.setitem(oracle.PARTS, part, f"SELECT * FROM r_{table}")
         monkeypatch.setitem(oracle.READS, part, [])
-    df = registry._plain(registry.QUERIES[name](dirty_session(spark, folder)))
+    df = registry._plain(registry.QUERIES[name](registry.Session(load_files(spark, folder))))
     assert difference(df, con, oracle.statements()[name]) is None

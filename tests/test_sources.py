@@ -80,3 +80,22 @@ class Cluster:
 def test_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Cluster())
+
+
+def test_shuffles_follow_the_input_size(spark, settings, tables, monkeypatch):
+    from orderlens import session
+
+    key = session.INITIAL_PARTITIONS
+    assert 0 < session.input_bytes(tables.products) < 100_000
+    session.size_shuffles(spark, tables.orders)
+    assert spark.conf.get(key, None) is None
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
+    session.size_shuffles(spark, tables.products)
+    assert int(spark.conf.get(key)) == -(-session.input_bytes(tables.products) // 1000)
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1 << 30)
+    session.size_shuffles(spark, tables.products)
+    assert spark.conf.get(key, None) is None
+    settings(**{key.replace(".", "__"): "7"})
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
+    session.size_shuffles(spark, tables.products)
+    assert spark.conf.get(key) == "7"
