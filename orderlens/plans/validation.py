@@ -28,15 +28,21 @@ VIEW_TOTALS = {
 }
 
 
-def pin_items(items: DataFrame, as_of: date) -> DataFrame:
-    """Store the recognized items once, with the columns views and checks read.
+# What the views and checks read of an item.
+ITEM_COLUMNS = ("id", "order_id", "user_id", "product_id", "delivered_at", "sale_price")
+
+
+def pin_items(
+    items: DataFrame, as_of: date, columns: tuple[str, ...] = ITEM_COLUMNS
+) -> DataFrame:
+    """Store some columns of the recognized items once.
 
     All parts of a check then see the same rows of a changing source, and the
     work of reading them is done once. Reports on recognized items give the
     same result on the stored rows as on the whole table.
     """
-    columns = ("id", "order_id", "user_id", "product_id", "status", "delivered_at", "sale_price")
-    return materialize(recognized_items(items, as_of).select(*columns), "recognized-items")
+    kept = dict.fromkeys(("status", "delivered_at", *columns))
+    return materialize(recognized_items(items, as_of).select(*kept), "recognized-items")
 
 
 def pin_tables(tables: RetailTables, as_of: date) -> RetailTables:

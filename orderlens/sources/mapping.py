@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.sources.tables import RetailTables
+from orderlens.sources.tables import TABLE_NAMES, RetailTables
 
 # The test data ends in August 2001; this day leaves recent rows to exclude.
 TEST_AS_OF = date(2001, 7, 15)
@@ -87,23 +88,41 @@ def _items(lines: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def map_test_tables(spark: SparkSession, folder: str) -> RetailTables:
-    """Read the wholesale test tables of ``folder`` as retail tables."""
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    parts = spark.read.parquet(f"{folder}/part.parquet")
-    orders = _orders(spark.read.parquet(f"{folder}/orders.parquet"), lines)
-    price = F.col("p_retailprice").cast("decimal(18,2)")
-    return RetailTables(
-        orders=orders,
-        order_items=_items(lines, orders),
-        products=parts.select(
+class MappedTables:
+    """The retail tables of a folder of wholesale test tables, each read when first used."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        return self._read("lineitem")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return _orders(self._read("orders"), self._lines)
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return _items(self._lines, self.orders)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        price = F.col("p_retailprice").cast("decimal(18,2)")
+        return self._read("part").select(
             F.col("p_partkey").alias("id"),
             F.col("p_name").alias("name"),
             F.col("p_type").alias("category"),
             (price * F.lit("0.6").cast("decimal(1,1)")).alias("cost"),
             price.alias("retail_price"),
-        ),
-        users=spark.read.parquet(f"{folder}/customer.parquet").select(
-            F.col("c_custkey").alias("id")
-        ),
-    )
+        )
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return self._read("customer").select(F.col("c_custkey").alias("id"))
+
+
+def map_test_tables(spark: SparkSession, folder: str) -> RetailTables:
+    """All four retail tables of a folder of wholesale test tables."""
+    mapped = MappedTables(spark, folder)
+    return RetailTables(**{name: getattr(mapped, name) for name in TABLE_NAMES})
