@@ -48,17 +48,21 @@ def _at_or_below(
     return joined.withColumn("at_or_below", F.col("below") + F.sum(weight).over(running))
 
 
-def with_rank(
-    cells: DataFrame, value: str, weight: str, by: list[str], bucket: str, name: str
+def with_ranks(
+    cells: DataFrame, value: str, weight: str, bucket: str, names: dict[str, list[str]]
 ) -> DataFrame:
-    """Add the descending rank of each value per ``by`` group, ties sharing the best place.
+    """Add descending ranks of each value, ties sharing the best place.
 
-    ``cells`` holds distinct values with their weight; ``bucket`` must grow
-    with ``value``.
+    ``names`` maps a rank column to the columns it is ranked within. ``cells``
+    holds distinct values with their weight; ``bucket`` must grow with ``value``.
     """
-    placed = _at_or_below(cells, _offsets(cells, weight, by, bucket), value, weight, by, bucket)
-    rank = (F.col("total") - F.col("at_or_below") + 1).cast("bigint")
-    return placed.select(*cells.columns, rank.alias(name))
+    ranked = cells
+    for name, by in names.items():
+        offsets = _offsets(cells, weight, by, bucket)
+        placed = _at_or_below(ranked, offsets, value, weight, by, bucket)
+        rank = (F.col("total") - F.col("at_or_below") + 1).cast("bigint")
+        ranked = placed.select(*ranked.columns, rank.alias(name))
+    return ranked
 
 
 def quantiles(
@@ -94,10 +98,12 @@ def value_buckets(df: DataFrame, value: str, rows: int, rows_per_bucket: int) ->
     """Add ``bucket``: an ordered split of ``value`` into about equal parts."""
     number = F.coalesce(F.col(value).cast("double"), F.lit(float("-inf")))
     sized = df.withColumn("bucket_value", number)
+    buckets = max(2, ceil(rows / rows_per_bucket))
     split = QuantileDiscretizer(
-        numBuckets=max(2, ceil(rows / rows_per_bucket)),
+        numBuckets=buckets,
         inputCol="bucket_value",
         outputCol="bucket",
-        relativeError=0.001,
+        # Boundaries may be off by a tenth of a bucket.
+        relativeError=0.1 / buckets,
     ).fit(sized.filter(F.col(value).isNotNull()))
     return split.transform(sized).drop("bucket_value")

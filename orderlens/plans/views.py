@@ -21,7 +21,7 @@ from orderlens.operators.durations import (
     VALID,
     classified_durations,
 )
-from orderlens.operators.ordering import quantiles, same, value_buckets, with_rank
+from orderlens.operators.ordering import quantiles, same, value_buckets, with_ranks
 from orderlens.operators.rows import eligible_orders, recognized_items, with_copies
 from orderlens.session import materialize
 from orderlens.sources import RetailTables
@@ -278,8 +278,13 @@ def _ranked_in_buckets(totals: DataFrame, rows: int, rows_per_sort: int) -> Data
     keys = ["category", "recognized_revenue"]
     cells = totals.groupBy(*keys).agg(F.count("*").alias("products"))
     cells = value_buckets(cells, "recognized_revenue", rows, rows_per_sort)
-    for by, name in (([], "overall_revenue_rank"), (["category"], "category_revenue_rank")):
-        cells = with_rank(cells, "recognized_revenue", "products", by, "bucket", name)
+    cells = with_ranks(
+        cells,
+        "recognized_revenue",
+        "products",
+        "bucket",
+        {"overall_revenue_rank": [], "category_revenue_rank": ["category"]},
+    )
     ranks = cells.select(
         *[F.col(k).alias(f"cell_{k}") for k in keys],
         "overall_revenue_rank",

@@ -68,6 +68,7 @@ def shared_folder(spark: SparkSession) -> str:
     data with its executor.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):

@@ -32,8 +32,9 @@ def test_ranks(spark, seed):
     rows = values(seed)
     cells = ordering.value_buckets(cells_of(spark, rows), "value", 600, 40)
     assert cells.select("bucket").distinct().count() > 5
-    ranked = ordering.with_rank(cells, "value", "n", [], "bucket", "overall")
-    ranked = ordering.with_rank(ranked, "value", "n", ["category"], "bucket", "within")
+    ranked = ordering.with_ranks(
+        cells, "value", "n", "bucket", {"overall": [], "within": ["category"]}
+    )
 
     def rank(value, among):
         return 1 + sum((v is not None and value is None) or

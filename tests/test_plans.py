@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def executed(df) -> str:
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return plan.split("== Initial Plan ==")[0]
+    return plan.split("\n+- == Initial Plan ==")[0]
 
 
 @pytest.fixture(scope="module")
@@ -161,3 +161,24 @@ def test_collapsed_joins_have_no_hot_key(skewed):
         views.customer_segments(skewed.order_items, skewed.users, TEST_AS_OF),
     ):
         assert "skew=true" not in executed(df)
+
+
+def test_a_revenue_shared_by_a_third_of_the_products_is_split(spark, skewed, tmp_path):
+    rows = 60_000
+    spread = (F.pmod(F.xxhash64("id"), F.lit(100_000_000)) / 100).cast("decimal(38,2)")
+    spark.range(0, rows, 1, 6).select(
+        "id",
+        F.sha2(F.col("id").cast("string"), 256).alias("name"),
+        (F.col("id") % 3).cast("string").alias("category"),
+        F.when(F.col("id") % 3 == 0, F.lit(5).cast("decimal(38,2)")).otherwise(spread).alias(
+            "recognized_revenue"
+        ),
+    ).write.parquet(f"{tmp_path}/totals")
+    totals = spark.read.parquet(f"{tmp_path}/totals")
+    ranked = views._ranked_in_buckets(totals, rows, 4_000)
+    assert "skew=true" in executed(ranked)
+    shared = ranked.filter("recognized_revenue = 5 and category = '0'")
+    assert shared.count() == rows / 3
+    assert shared.select("category_revenue_rank").distinct().collect() == [(1,)]
+    expected = 1 + totals.filter("recognized_revenue > 5").count()
+    assert shared.select("overall_revenue_rank").distinct().collect() == [(expected,)]

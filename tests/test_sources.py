@@ -76,6 +76,10 @@ class Cluster:
     class sparkContext:
         master = "spark://host:7077"
 
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
 
 def test_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
