@@ -25,9 +25,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# One shuffle partition per this much input, and no more than a shuffle can
-# keep track of.
+# One shuffle partition per this much input.
 PARTITION_BYTES = 128 * 1024 * 1024
+# Up to 2000 partitions every block size is recorded, and a hot partition is
+# seen and split. Beyond that only average sizes are, unless the cluster was
+# started with this factor.
+RECORDED_PARTITIONS = 2000
+SKEWED_BLOCKS = "spark.shuffle.accurateBlockSkewedFactor"
 MOST_PARTITIONS = 32_768
 UNKNOWN_BYTES = 1 << 60
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -51,7 +55,9 @@ def size_shuffles(spark: SparkSession, *tables: DataFrame) -> None:
     if chosen is not None and chosen != spark.conf.get(SIZED, None):
         return
     total = sum(input_bytes(t) for t in tables)
-    wanted = min(-(-total // PARTITION_BYTES), MOST_PARTITIONS)
+    factor = float(spark.sparkContext.getConf().get(SKEWED_BLOCKS, "-1"))
+    most = MOST_PARTITIONS if factor > 0 else RECORDED_PARTITIONS
+    wanted = min(-(-total // PARTITION_BYTES), most)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
         spark.conf.set(SIZED, str(wanted))

@@ -7,7 +7,7 @@ from dirty import make
 
 import __spark_entry__ as registry
 from oracle import statements as oracle
-from orderlens import load_files
+from orderlens import RetailTables, load_files
 
 SMALL = "/root/testdata/sf0.001"
 NAMES = sorted(registry.QUERIES)
@@ -54,3 +54,31 @@ def test_dirty_tables(spark, dirty, name, monkeypatch):
         monkeypatch.setitem(oracle.READS, part, [])
     df = registry._plain(registry.QUERIES[name](registry.Session(load_files(spark, folder))))
     assert difference(df, con, oracle.statements()[name]) is None
+
+
+FLOAT_COLUMNS = {"order_items": ["sale_price"], "products": ["cost", "retail_price"]}
+FLOAT_NAMES = [
+    "category_performance",
+    "customer_segments",
+    "monthly_revenue_growth",
+    "price_cost_quality",
+    "product_foundation",
+    "product_performance",
+    "product_view_reconcile",
+]
+
+
+@pytest.mark.parametrize("name", FLOAT_NAMES)
+def test_floating_prices_give_the_same_results(spark, dirty, name):
+    exact = load_files(spark, dirty[0])
+    floating = {
+        table: df.withColumns(
+            {c: df[c].cast("double") for c in FLOAT_COLUMNS.get(table, [])}
+        )
+        for table, df in exact.named().items()
+    }
+    build = registry.QUERIES[name]
+    expected = registry._plain(build(registry.Session(exact)))
+    found = registry._plain(build(registry.Session(RetailTables(**floating))))
+    assert found.schema.names == expected.schema.names
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))

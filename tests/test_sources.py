@@ -96,6 +96,9 @@ def test_shuffles_follow_the_input_size(spark, settings, tables, monkeypatch):
     monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
     session.size_shuffles(spark, tables.products)
     assert int(spark.conf.get(key)) == -(-session.input_bytes(tables.products) // 1000)
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1)
+    session.size_shuffles(spark, tables.products)
+    assert int(spark.conf.get(key)) == session.RECORDED_PARTITIONS
     monkeypatch.setattr(session, "PARTITION_BYTES", 1 << 30)
     session.size_shuffles(spark, tables.products)
     assert spark.conf.get(key, None) is None
