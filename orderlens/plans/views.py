@@ -51,15 +51,20 @@ def monthly_revenue(items: DataFrame, as_of: date) -> DataFrame:
     Revenue is rounded before months are compared, and months without a
     delivery have no row.
     """
-    monthly = recognized_by_month(items, as_of)
-    revenue, previous = F.col("recognized_revenue"), F.col("previous_month_revenue")
-    by_month = Window.orderBy("revenue_month")
-    return (
-        monthly.withColumn("average_order_value", ratio2(revenue, F.col("completed_orders")))
-        .withColumn("recognized_revenue", round2(revenue))
-        .withColumn("previous_month_revenue", F.lag("recognized_revenue").over(by_month))
-        .withColumn("revenue_change", round2(revenue - previous))
-        .withColumn("revenue_growth_pct", pct(revenue - previous, previous))
+    revenue = F.col("recognized_revenue")
+    rounded = recognized_by_month(items, as_of).select(
+        "revenue_month",
+        "completed_orders",
+        "completed_items",
+        round2(revenue).alias("recognized_revenue"),
+        ratio2(revenue, F.col("completed_orders")).alias("average_order_value"),
+    )
+    previous = F.lag("recognized_revenue").over(Window.orderBy("revenue_month"))
+    return rounded.select(
+        "*",
+        previous.alias("previous_month_revenue"),
+        round2(revenue - previous).alias("revenue_change"),
+        pct(revenue - previous, previous).alias("revenue_growth_pct"),
     )
 
 

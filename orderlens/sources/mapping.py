@@ -19,7 +19,6 @@ def _later(start: str, seconds: Column) -> Column:
 
 
 def _orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
     priority = F.substring("o_orderpriority", 1, 1)
     status = (
         F.when(F.col("o_orderstatus") == "P", "Processing")
@@ -28,39 +27,31 @@ def _orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
         .when(priority == "4", "Cancelled")
         .otherwise("Returned")
     )
-    has = F.col("status")
+    staged = orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("user_id"),
+        status.alias("status"),
+        F.col("o_orderdate").alias("created_at"),
+    )
+    # Seconds from each event to the next.
+    key, reached = F.col("order_id"), F.col("status")
+    packing, travel, stay = key * 7919 % 259201, key * 104729 % 432001, key * 1299709 % 259201
     line_counts = lines.groupBy("l_orderkey").agg(F.count("*").alias("lines"))
-    return (
-        orders.select(
-            key.alias("order_id"),
-            F.col("o_custkey").alias("user_id"),
-            status.alias("status"),
-            F.col("o_orderdate").alias("created_at"),
-        )
-        .withColumn(
-            "shipped_at",
-            F.when(
-                has.isin("Shipped", "Complete", "Returned"),
-                _later("created_at", F.col("order_id") * 7919 % 259201),
-            ),
-        )
-        .withColumn(
-            "delivered_at",
-            F.when(
-                has.isin("Complete", "Returned"),
-                _later("shipped_at", F.col("order_id") * 104729 % 432001),
-            ),
-        )
-        .withColumn(
-            "returned_at",
-            F.when(
-                has == "Returned",
-                _later("delivered_at", F.col("order_id") * 1299709 % 259201),
-            ),
-        )
-        .join(line_counts, F.col("order_id") == F.col("l_orderkey"), "left")
-        .withColumn("num_of_item", F.coalesce("lines", F.lit(0)).cast("bigint"))
-        .drop("l_orderkey", "lines")
+    return staged.join(line_counts, key == F.col("l_orderkey"), "left").select(
+        "order_id",
+        "user_id",
+        "status",
+        "created_at",
+        F.when(
+            reached.isin("Shipped", "Complete", "Returned"), _later("created_at", packing)
+        ).alias("shipped_at"),
+        F.when(
+            reached.isin("Complete", "Returned"), _later("created_at", packing + travel)
+        ).alias("delivered_at"),
+        F.when(reached == "Returned", _later("created_at", packing + travel + stay)).alias(
+            "returned_at"
+        ),
+        F.coalesce("lines", F.lit(0)).alias("num_of_item"),
     )
 
 
