@@ -7,8 +7,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.dates import after_day, in_complete_month, in_open_month, month_of
-from orderlens.functions.dates import month_start
+from orderlens.functions.dates import (
+    after_day,
+    in_complete_month,
+    in_open_month,
+    month_of,
+    month_start,
+)
 from orderlens.functions.numbers import (
     count_if,
     money,

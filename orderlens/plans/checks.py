@@ -674,7 +674,8 @@ def duration_check(durations: DataFrame, orders: DataFrame, as_of: date) -> Data
         "full",
     ).withColumn("compared_type", F.coalesce("duration_type", "source_type"))
 
-    month, ended, valid = F.col("event_month"), F.col("ended_orders"), F.col("valid_duration_orders")
+    month, ended = F.col("event_month"), F.col("ended_orders")
+    valid = F.col("valid_duration_orders")
     zero, average = F.col("zero_duration_orders"), F.col("average_days")
     median, p90 = F.col("approximate_median_days"), F.col("approximate_p90_days")
     longest, total = F.col("maximum_days"), F.col("total_elapsed_days")

@@ -11,7 +11,12 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.dates import last_complete_month, month_of, months_between
+from orderlens.functions.dates import (
+    in_complete_month,
+    last_complete_month,
+    month_of,
+    months_between,
+)
 from orderlens.functions.numbers import count_if, money, pct, ratio, ratio2, round2, times
 from orderlens.operators.calendar import fill_months
 from orderlens.operators.durations import (
@@ -391,9 +396,7 @@ def monthly_order_durations(orders: DataFrame, as_of: date) -> DataFrame:
     gathered in one task: buckets are whole hours.
     """
     keys = ["duration_type", "event_month"]
-    ended = classified_durations(orders, as_of).filter(
-        F.col("end_at") < F.lit(as_of.replace(day=1))
-    )
+    ended = classified_durations(orders, as_of).filter(in_complete_month("end_at", as_of))
     cells = (
         ended.groupBy(
             "duration_type",

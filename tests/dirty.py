@@ -14,7 +14,8 @@ from decimal import Decimal
 import pyarrow as pa
 import pyarrow.parquet as pq
 
-STATUSES = ["Complete"] * 6 + ["Returned"] * 3 + ["Shipped", "Processing", "Cancelled", "Lost", None]
+STATUSES = ["Complete"] * 6 + ["Returned"] * 3
+STATUSES += ["Shipped", "Processing", "Cancelled", "Lost", None]
 
 # A few busy months far apart, the last complete month and the as-of month.
 STARTS = [

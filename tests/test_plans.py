@@ -93,7 +93,9 @@ def skewed_items(spark, rows=60_000):
         key(2_003, 2).alias("user_id"),
         F.lit("Complete").alias("status"),
         *[stamp.alias(f"{e}_at") for e in ("created", "shipped", "delivered", "returned")],
-        (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 100).cast("decimal(18,2)").alias("sale_price"),
+        (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 100)
+        .cast("decimal(18,2)")
+        .alias("sale_price"),
     )
 
 
@@ -112,7 +114,7 @@ def skewed(spark, settings, tmp_path):
     orders = items.groupBy("order_id").agg(
         F.first("user_id").alias("user_id"),
         F.first("status").alias("status"),
-        *[F.first(f"{e}_at").alias(f"{e}_at") for e in ("created", "shipped", "delivered", "returned")],
+        *[F.first(f"{e}_at").alias(f"{e}_at") for e in audits.EVENTS],
         F.count("*").alias("num_of_item"),
     )
     orders.write.parquet(f"{tmp_path}/orders")
