@@ -20,6 +20,8 @@ VALID = "valid"
 
 SECONDS_PER_DAY = 86400.0
 
+MIDDLE = {"median": 50, "p90": 90}
+
 
 def event_pairs(orders: DataFrame) -> DataFrame:
     """One row per measured span of an order, from a single scan.

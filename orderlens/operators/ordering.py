@@ -94,6 +94,14 @@ def quantiles(
     )
 
 
+def approximate_quantiles(value: str, percents: dict[str, int]) -> list[Column]:
+    """Aggregates that estimate the quantiles from a sketch, within 0.01 % of the rank."""
+    return [
+        F.percentile_approx(value, percent / 100, 10_000).alias(name)
+        for name, percent in percents.items()
+    ]
+
+
 def value_buckets(df: DataFrame, value: str, rows: int, rows_per_bucket: int) -> DataFrame:
     """Add ``bucket``: an ordered split of ``value`` into about equal parts."""
     number = F.coalesce(F.col(value).cast("double"), F.lit(float("-inf")))

@@ -26,6 +26,7 @@ from orderlens.functions.numbers import (
 )
 from orderlens.operators.calendar import fill_months
 from orderlens.operators.durations import (
+    MIDDLE,
     MISSING_END,
     MISSING_START,
     OPEN_END,
@@ -34,7 +35,7 @@ from orderlens.operators.durations import (
     VALID,
     classified_durations,
 )
-from orderlens.operators.ordering import quantiles
+from orderlens.operators.ordering import approximate_quantiles, quantiles
 from orderlens.operators.rows import one_row, recognized_items, with_copies
 from orderlens.plans.views import STATUSES, recognized_by_month
 from orderlens.sources import RetailTables
@@ -474,8 +475,13 @@ def order_operations_foundation(orders: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def order_duration_foundation(orders: DataFrame, as_of: date) -> DataFrame:
-    """Duration quality over the whole history, one row per duration type."""
+def order_duration_foundation(
+    orders: DataFrame, as_of: date, exact: bool = True
+) -> DataFrame:
+    """Duration quality over the whole history, one row per duration type.
+
+    ``exact=False`` estimates the quantiles from a sketch.
+    """
     durations = classified_durations(orders, as_of)
     outcome, seconds = F.col("outcome"), F.col("elapsed_seconds")
     end_date = F.when(outcome == VALID, F.to_date("end_at"))
@@ -497,14 +503,19 @@ def order_duration_foundation(orders: DataFrame, as_of: date) -> DataFrame:
         F.sum(seconds).alias("seconds"),
         F.max(seconds).alias("longest"),
     )
-    cells = (
-        durations.groupBy("duration_type", "elapsed_seconds")
-        .agg(F.count("elapsed_seconds").alias("valid"))
-        .withColumn("hour", F.floor(seconds / 3600))
-    )
-    middle = quantiles(
-        cells, "elapsed_seconds", "valid", ["duration_type"], "hour", {"median": 50, "p90": 90}
-    )
+    if exact:
+        cells = (
+            durations.groupBy("duration_type", "elapsed_seconds")
+            .agg(F.count("elapsed_seconds").alias("valid"))
+            .withColumn("hour", F.floor(seconds / 3600))
+        )
+        middle = quantiles(
+            cells, "elapsed_seconds", "valid", ["duration_type"], "hour", MIDDLE
+        )
+    else:
+        middle = durations.groupBy("duration_type").agg(
+            *approximate_quantiles("elapsed_seconds", MIDDLE)
+        )
 
     def days(value: Column) -> Column:
         return round2(value / SECONDS_PER_DAY).cast("double")

@@ -20,13 +20,20 @@ from orderlens.functions.dates import (
 from orderlens.functions.numbers import count_if, money, pct, ratio, ratio2, round2, times
 from orderlens.operators.calendar import fill_months
 from orderlens.operators.durations import (
+    MIDDLE,
     MISSING_START,
     REVERSED,
     SECONDS_PER_DAY,
     VALID,
     classified_durations,
 )
-from orderlens.operators.ordering import quantiles, same, value_buckets, with_ranks
+from orderlens.operators.ordering import (
+    approximate_quantiles,
+    quantiles,
+    same,
+    value_buckets,
+    with_ranks,
+)
 from orderlens.operators.rows import eligible_orders, recognized_items, with_copies
 from orderlens.session import materialize
 from orderlens.sources import RetailTables
@@ -388,26 +395,30 @@ def monthly_order_status(orders: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def monthly_order_durations(orders: DataFrame, as_of: date) -> DataFrame:
+def monthly_order_durations(orders: DataFrame, as_of: date, exact: bool = True) -> DataFrame:
     """Delivery and return durations per month of the end event.
 
     Months without an end event have no row. Equal durations are counted
     together first, so the quantiles are exact and a busy month is never
-    gathered in one task: buckets are whole hours.
+    gathered in one task: buckets are whole hours. With ``exact=False`` they
+    come from a sketch, and only one row per month and task is shuffled.
     """
     keys = ["duration_type", "event_month"]
-    ended = classified_durations(orders, as_of).filter(in_complete_month("end_at", as_of))
     cells = (
-        ended.groupBy(
+        classified_durations(orders, as_of)
+        .filter(in_complete_month("end_at", as_of))
+        .select(
             "duration_type",
             month_of("end_at").alias("event_month"),
             "outcome",
             "elapsed_seconds",
+            F.lit(1).alias("orders"),
         )
-        .agg(F.count("*").alias("orders"))
-        .withColumn("valid", F.when(F.col("outcome") == VALID, F.col("orders")).otherwise(0))
-        .withColumn("hour", F.floor(F.col("elapsed_seconds") / 3600))
     )
+    if exact:
+        cells = cells.groupBy(*keys, "outcome", "elapsed_seconds").agg(
+            F.count("*").alias("orders")
+        )
     n, outcome, seconds = F.col("orders"), F.col("outcome"), F.col("elapsed_seconds")
 
     def with_outcome(name: str) -> Column:
@@ -418,17 +429,24 @@ def monthly_order_durations(orders: DataFrame, as_of: date) -> DataFrame:
 
     totals = cells.groupBy(*keys).agg(
         F.sum(n).alias("ended_orders"),
-        F.sum("valid").alias("valid_duration_orders"),
+        with_outcome(VALID).alias("valid_duration_orders"),
         with_outcome(MISSING_START).alias("missing_start_orders"),
         with_outcome(REVERSED).alias("reversed_timestamp_orders"),
         F.sum(F.when(seconds == 0, n).otherwise(0)).alias("zero_duration_orders"),
         F.sum(seconds * n).alias("seconds"),
         F.max(seconds).alias("longest"),
-    )
-    middle = quantiles(
-        cells, "elapsed_seconds", "valid", keys, "hour", {"median": 50, "p90": 90}
-    )
-    return totals.join(middle, keys, "left").select(
+        *([] if exact else approximate_quantiles("elapsed_seconds", MIDDLE)),
+    )
+    if exact:
+        weighted = cells.withColumns(
+            {
+                "valid": F.when(outcome == VALID, n).otherwise(0),
+                "hour": F.floor(seconds / 3600),
+            }
+        )
+        middle = quantiles(weighted, "elapsed_seconds", "valid", keys, "hour", MIDDLE)
+        totals = totals.join(middle, keys, "left")
+    return totals.select(
         *keys,
         "ended_orders",
         "valid_duration_orders",

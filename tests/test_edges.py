@@ -250,3 +250,25 @@ def test_timestamps_with_and_without_zone_agree(spark):
         views.monthly_revenue(zoned, AS_OF).collect()
         == views.monthly_revenue(local, AS_OF).collect()
     )
+
+
+def test_estimated_percentiles_stay_close(spark):
+    from orderlens.sources.mapping import TEST_AS_OF, map_test_tables
+
+    source = map_test_tables(spark, "/root/testdata/sf0.001").orders
+    points = {"approximate_median_days", "approximate_p90_days"}
+    for report, keys in (
+        (views.monthly_order_durations, ["duration_type", "event_month"]),
+        (audits.order_duration_foundation, ["duration_type"]),
+    ):
+        exact = {tuple(r[k] for k in keys): r.asDict() for r in report(source, TEST_AS_OF).collect()}
+        found = report(source, TEST_AS_OF, exact=False).collect()
+        assert len(found) == len(exact)
+        for row in found:
+            expected = exact[tuple(row[k] for k in keys)]
+            for name, value in expected.items():
+                if name in points:
+                    assert (value is None) == (row[name] is None)
+                    assert value is None or abs(row[name] - value) <= 0.05
+                else:
+                    assert row[name] == value, name
