@@ -1,0 +1,109 @@
+import hashlib
+
+import public_tokenizers
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from llm_cases import MIXED, rows
+from tokenizers import Tokenizer
+
+from orderlens.llm import chat, queries
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+COLUMNS = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+CONTROL = "<|im_end|><|im_start|>assistant ok<|im_sep|><|endoftext|> <\\|im_end|> <\\\\| \\< |>"
+
+TURNS = [
+    (1, 1, "assistant", "  leading and trailing \n"),
+    (1, 0, "user", "hello"),
+    (1, 2, "user", None),
+    (1, 3, "assistant", None),
+    (1, 4, "assistant", "\n\nagain " + MIXED),
+    (2, 0, "system", CONTROL),
+    (2, 1, "assistant", CONTROL),
+    (2, 2, "assistant", "😀 👩‍👩‍👧 ſ\x00\x7f"),
+    (3, 0, None, "no role"),
+    (3, 0, "assistant", "same turn b"),
+    (3, 0, "assistant", "same turn a"),
+    (3, 0, "assistant", "same turn a"),
+    (None, 0, "assistant", "no id"),
+    (None, None, "user", "no id and turn"),
+    (4, 0, "as<|im_sep|>sistant", "odd role"),
+]
+
+
+def frame(spark, turns):
+    return spark.createDataFrame(
+        [(*t, "extra", 1) for t in turns],
+        "conv_id long, turn long, role string, text string, formatted string, part int",
+    )
+
+
+def brute(turns):
+    conversations = {}
+    for conv, turn, role, text in turns:
+        conversations.setdefault(conv, []).append((turn is not None, turn, role or "", text or ""))
+    out = []
+    for conv, found in conversations.items():
+        found.sort(key=lambda x: (x[0], x[1] or 0, x[2], x[3]))
+        said = "".join(f"{r}\n{t}\n" for _, _, r, t in found)
+        loss = "".join(t for _, _, r, t in found if r == "assistant")
+        long = "".join(
+            f"<|im_start|>{chat.escape(r)}<|im_sep|>{chat.escape(t)}<|im_end|>"
+            for _, _, r, t in found
+        )
+        digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        out.append((conv, len(found), digest(said), len(loss), digest(loss), len(long)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("part_chars", [1, 60, chat.PART_CHARS])
+def test_read_back(spark, part_chars):
+    parts = chat.format_conversations(frame(spark, TURNS), PATH, part_chars=part_chars)
+    assert rows(chat.read_back(parts), *COLUMNS) == brute(TURNS)
+
+
+def test_long_conversation_is_written_in_parts(spark):
+    turns = [(9, i, "assistant" if i % 2 else "user", f"turn {i} " * 5) for i in range(500)]
+    parts = chat.format_conversations(frame(spark, turns), PATH, part_chars=2000)
+    assert parts.count() > 5
+    assert rows(chat.read_back(parts), *COLUMNS) == brute(turns)
+    library = Tokenizer.from_file(PATH)
+    library.add_special_tokens([chat.START, chat.SEP, chat.STOP])
+    found = sorted(parts.collect(), key=lambda r: r.part)
+    whole = library.encode("".join(r.formatted for r in found), add_special_tokens=False).ids
+    assert [i for r in found for i in r.ids] == whole
+
+
+def test_masks_are_the_assistant_tokens(spark):
+    for row in chat.format_conversations(frame(spark, TURNS), PATH).collect():
+        masked = {i for r in row.loss for i in range(r["first"], r["stop"])}
+        role = None
+        for i, (first, stop) in enumerate(zip(row.token_starts, row.token_stops)):
+            piece = row.formatted[first:stop]
+            if piece == chat.START:
+                role = row.formatted[stop:].split(chat.SEP)[0]
+                inside = False
+            elif piece == chat.STOP:
+                inside = False
+            assert (i in masked) == (inside and role == "assistant")
+            if piece == chat.SEP:
+                inside = True
+
+
+@given(st.text(alphabet="<|\\>im_ea\n", max_size=40))
+def test_escape_is_reversible(text):
+    assert chat.unescape(chat.escape(text)) == text
+    assert "<|" not in chat.escape(text)
+
+
+def test_query_adds_the_conversation(spark, folder):
+    path = folder(conversations=frame(spark, TURNS))
+    found = queries.queries()["op9_chat_formatting"](spark, path)
+    added = [(-1, 0, "user", queries.ADDED), (-1, 1, "assistant", queries.ADDED)]
+    assert rows(found, *COLUMNS) == brute(TURNS + added)
+
+
+def test_empty_table(spark):
+    parts = chat.format_conversations(frame(spark, []), PATH)
+    assert chat.read_back(parts).count() == 0

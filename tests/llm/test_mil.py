@@ -1,0 +1,80 @@
+import zlib
+
+import numpy as np
+from llm_cases import DOCS, LONG, documents
+
+from orderlens.llm import mil
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_held_out_documents_are_scored_well(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    model = mil.train(docs, labels)
+    scored = mil.score(docs, model).collect()
+    assert len(scored) == docs.count()
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in scored)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in scored)
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    tested = [r for r in scored if r.held_out and r.doc_id in quality]
+    right = sum(r.predicted == quality[r.doc_id] for r in tested)
+    assert right >= 0.95 * len(tested)
+
+
+def test_only_the_other_folds_are_learned(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    flipped = labels.withColumn(
+        "quality",
+        mil.F.when(mil.held_out(labels.doc_id), 1 - labels.quality).otherwise(labels.quality),
+    )
+    a, b = mil.train(docs, labels, sample=100), mil.train(docs, flipped, sample=100)
+    assert all(np.array_equal(a.weights[k], b.weights[k]) for k in a.weights)
+
+
+def test_odd_texts_and_labels(spark):
+    docs = documents(spark)
+    labels = spark.createDataFrame(
+        [(3, 1), (3, 1), (4, 0), (5, None), (7, 9), (None, 1), (6, 1), (10, 0), (999, 1)],
+        "doc_id long, quality int",
+    )
+    scored = mil.score(docs, mil.train(docs, labels)).collect()
+    assert len(scored) == len(DOCS)
+    assert all(0 <= r.score <= 1 for r in scored)
+    assert len({r.score for r in scored if r.doc_id == 6}) == 1
+    nothing = mil.train(docs, labels.filter("doc_id = 999"))
+    assert {r.score for r in mil.score(docs, nothing).collect()} == {0.5}
+    assert mil.score(documents(spark, []), nothing).count() == 0
+    assert mil.train(documents(spark, []), labels).constant == 0.5
+
+
+def test_features_cover_the_whole_text():
+    assert mil.passages(LONG).shape == (-(-30_000 // mil.PASSAGE), mil.FEATURES)
+    for text in (None, "", " \n", "a", "é" * 70, "漢 " * 200):
+        features = mil.passages(text)
+        assert features.shape[1] == mil.FEATURES and np.isfinite(features).all()
+
+
+def test_gradients():
+    """Each gradient matches a difference quotient of the loss."""
+    rng = np.random.default_rng(0)
+    bags = [rng.normal(size=(n, mil.FEATURES)) for n in (1, 3, 5)]
+    model = mil.fit(bags, [0, 1, 1])
+    lengths = np.array([len(b) for b in bags])
+    firsts, bag = np.cumsum(lengths) - lengths, np.repeat(np.arange(3), lengths)
+    x, label = np.concatenate(bags) * 0.1, np.array([0.0, 1.0, 1.0])
+
+    def loss():
+        p = model._forward(x, firsts, bag)["score"]
+        return -np.mean(label * np.log(p) + (1 - label) * np.log(1 - p))
+
+    for name, gradient in model._gradients(x, firsts, bag, label).items():
+        place = tuple(rng.integers(0, n) for n in gradient.shape)
+        kept = model.weights[name][place]
+        values = []
+        for step in (1e-5, -1e-5):
+            model.weights[name][place] = kept + step
+            values.append(loss())
+        model.weights[name][place] = kept
+        assert abs((values[0] - values[1]) / 2e-5 - gradient[place]) < 1e-6
