@@ -12,8 +12,10 @@ one of 0.85 below 1e-6.
 Candidates are never expanded into all pairs. First every key links its members
 to one leader. Links are confirmed on the full sets, and components are built.
 After that only members of one key in different components are of interest.
-Rounds take up to ``LEADERS`` members per key that are outside its largest
-component, compare them with the members of other components, and drop them. A
+A shingle that no other set in question has cannot be common; a set with too many
+of them is linked with nothing and goes, and pairs that cannot reach the
+similarity are not made. Rounds take up to ``LEADERS`` members per key that are
+outside its largest component, compare them with the members of other components, and drop them. A
 key is done when what remains is one component, so no link that could change a
 component is lost.
 
@@ -165,26 +167,89 @@ class _Finder:
 def _rooted(state: DataFrame, roots: DataFrame) -> DataFrame:
     """The members of every key with their component so far."""
     named = roots.select(F.col("node").alias("digest"), "root")
-    return state.join(named, "digest", "left").select(
-        "key", "digest", F.coalesce("root", "digest").alias("root")
-    )
+    return state.join(named, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
 
 
-def _round(state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of unfinished keys, and this round's leaders of each."""
-    sizes = state.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+def _unfinished(state: DataFrame) -> DataFrame:
+    """Members of keys with several components, and the largest component of the key."""
+    sizes = state.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     open_keys = (
         sizes.groupBy("key")
-        .agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("parts"))
+        .agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("parts"))
         .filter("parts > 1")
         .select("key", F.col("top.root").alias("largest"))
     )
-    active = materialize(state.join(open_keys, "key"), "active")
+    return state.join(open_keys, "key")
+
+
+def _shareable(sets: DataFrame, state: DataFrame) -> DataFrame:
+    """(digest, n, s): size of a set and how many of its shingles another set has.
+
+    Only sets still in ``state`` count, as only those can be linked any more.
+    """
+    import pyarrow as pa
+
+    wanted = sets.join(state.select("digest").distinct(), "digest", "left_semi")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for digest, members in zip(batch.column("digest"), batch.column("members")):
+                own = np.frombuffer(members.as_py(), np.int64)
+                for at in range(0, len(own), 1 << 16):
+                    part = own[at : at + (1 << 16)]
+                    names = pa.array([digest.as_py()], pa.binary()).take(
+                        pa.array(np.zeros(len(part), np.int64))
+                    )
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part), names], names=["shingle", "digest"]
+                    )
+
+    alone = (
+        wanted.select("digest", "members")
+        .mapInArrow(spread, "shingle long, digest binary")
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("sets"), F.min("digest").alias("digest"))
+        .filter("sets = 1")
+        .groupBy("digest")
+        .agg(F.count(F.lit(1)).alias("alone"))
+    )
+    sizes = wanted.groupBy("digest").agg(
+        F.max(F.octet_length("members") / 8).cast("long").alias("n")
+    )
+    return sizes.join(alone, "digest", "left").select(
+        "digest", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s")
+    )
+
+
+def _linkable(state: DataFrame, percent: int) -> DataFrame:
+    """Members that may still be linked with some member of their key.
+
+    Two sets have at most the smaller ``s`` in common, which bounds their
+    similarity. The shortest set of a key is the best partner a set can have.
+    """
+    shortest = state.groupBy("key").agg(F.min("n").alias("shortest"))
+    possible = F.col("s") * (100 + percent) >= percent * (F.col("n") + F.col("shortest"))
+    return (
+        state.join(shortest, "key")
+        .filter((100 * F.col("s") >= percent * F.col("n")) & possible)
+        .drop("shortest")
+    )
+
+
+def _round(state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of unfinished keys, and this round's leaders of each."""
+    active = materialize(_unfinished(state), "active")
     chosen = (
         active.filter("root <> largest")
         .groupBy("key", F.pmod(F.xxhash64("digest"), F.lit(LEADERS)).alias("slot"))
-        .agg(F.min(F.struct("digest", "root")).alias("first"))
-        .select("key", F.col("first.digest").alias("a"), F.col("first.root").alias("root_a"))
+        .agg(F.min(F.struct("digest", "root", "n", "s")).alias("first"))
+        .select(
+            "key",
+            F.col("first.digest").alias("a"),
+            F.col("first.root").alias("root_a"),
+            F.col("first.n").alias("n_a"),
+            F.col("first.s").alias("s_a"),
+        )
     )
     return active.drop("largest"), materialize(chosen, "leaders")
 
@@ -216,12 +281,20 @@ def links(
     checked = materialize(first.distinct(), "checked")
     found = materialize(finder.linked(finder.near(checked)), "links")
     roots = components(found)
-    state = members.filter("digest <> leader").select("key", "digest")
+    state = _unfinished(_rooted(members.filter("digest <> leader").drop("leader"), roots))
+    state = materialize(state.select("key", "digest"), "unfinished")
+    state = materialize(state.join(_shareable(sets, state), "digest"), "unfinished")
+    state = _linkable(state, percent)
     while True:
         active, leaders = _round(_rooted(state, roots))
+        if leaders.isEmpty():
+            return roots
+        possible = F.least("s", "s_a") * (100 + percent) >= percent * (F.col("n") + F.col("n_a"))
         pairs = (
-            leaders.join(active, "key")
-            .filter("root <> root_a")
+            leaders.join(
+                active,
+                (leaders["key"] == active["key"]) & (F.col("root") != F.col("root_a")) & possible,
+            )
             .select(F.least("a", "digest").alias("a"), F.greatest("a", "digest").alias("b"))
             .distinct()
         )
@@ -232,8 +305,6 @@ def links(
             "left_anti",
         )
         fresh = materialize(fresh, "fresh")
-        if leaders.isEmpty():
-            return roots
         if not fresh.isEmpty():
             more = materialize(finder.linked(finder.near(fresh)), "links")
             checked = checked.unionByName(fresh)
@@ -246,7 +317,7 @@ def links(
                 )
         state = active.join(
             leaders.select("key", F.col("a").alias("digest")), ["key", "digest"], "left_anti"
-        ).select("key", "digest")
+        ).select("key", "digest", "n", "s")
 
 
 def near_duplicates(
