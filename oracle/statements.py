@@ -907,7 +907,8 @@ ZERO_RULES = {
         month_zero_retention_mismatches invalid_active_customer_rows invalid_cohort_age_rows
         activity_month_mismatches incomplete_or_future_month_rows
         retention_calculation_mismatches cohorts_with_changing_size"""),
-    "products": ("product_view_reconcile", "invalid_ranks category_mismatches"),
+    "products": ("product_view_reconcile", """
+        invalid_ranks category_mismatches missing_product_attributes"""),
     "order_status": ("status_check", """
         incomplete_or_future_months status_count_mismatches open_count_mismatches
         cancelled_share_mismatches returned_share_mismatches complete_share_mismatches"""),

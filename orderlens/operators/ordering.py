@@ -9,9 +9,7 @@ bucket, and a running sum inside the bucket gives the rest.
 from __future__ import annotations
 
 from functools import reduce
-from math import ceil
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,16 +100,18 @@ def approximate_quantiles(value: str, percents: dict[str, int]) -> list[Column]:
     ]
 
 
-def value_buckets(df: DataFrame, value: str, rows: int, rows_per_bucket: int) -> DataFrame:
-    """Add ``bucket``: an ordered split of ``value`` into about equal parts."""
-    number = F.coalesce(F.col(value).cast("double"), F.lit(float("-inf")))
-    sized = df.withColumn("bucket_value", number)
-    buckets = max(2, ceil(rows / rows_per_bucket))
-    split = QuantileDiscretizer(
-        numBuckets=buckets,
-        inputCol="bucket_value",
-        outputCol="bucket",
-        # Boundaries may be off by a tenth of a bucket.
-        relativeError=0.1 / buckets,
-    ).fit(sized.filter(F.col(value).isNotNull()))
-    return split.transform(sized).drop("bucket_value")
+def value_buckets(df: DataFrame, value: str, buckets: int) -> DataFrame:
+    """Add ``bucket``: an ordered split of ``value`` into about equal parts.
+
+    The borders come from an aggregate inside the plan. NULL is in the lowest.
+    """
+    if buckets < 2:
+        return df.withColumn("bucket", F.lit(0))
+    number = F.col(value).cast("double")
+    shares = [k / buckets for k in range(1, buckets)]
+    # Borders may be off by a tenth of a bucket.
+    borders = df.agg(F.percentile_approx(number, shares, 10 * buckets)).scalar()
+    below = F.size(F.filter("borders", lambda b: b < number))
+    bucket = F.when(number.isNull(), 0).otherwise(F.coalesce(below, F.lit(0)))
+    bounded = df.withColumn("borders", F.array_distinct(borders))
+    return bounded.withColumn("bucket", bucket).drop("borders")

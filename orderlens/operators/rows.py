@@ -34,5 +34,8 @@ def with_copies(df: DataFrame, *columns) -> DataFrame:
 
 def one_row(*frames: DataFrame) -> DataFrame:
     """Put the columns of several one-row frames side by side, without a join."""
+    names = [c.lower() for frame in frames for c in frame.columns]
+    if len(names) != len(set(names)):
+        raise ValueError("one-row frames share a column name")
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])

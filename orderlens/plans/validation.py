@@ -96,7 +96,11 @@ def run_checks(
 def _is_rule(name: str) -> bool:
     """Counts that have to be zero; flags are recognised by their type."""
     return "mismatches" in name or name.startswith(("duplicate_", "invalid_", "incomplete_")) or (
-        name in ("missing_or_extra_months", "cohorts_with_changing_size")
+        name in (
+            "missing_or_extra_months",
+            "cohorts_with_changing_size",
+            "missing_product_attributes",
+        )
     )
 
 

@@ -38,10 +38,6 @@ from orderlens.operators.rows import eligible_orders, recognized_items, with_cop
 from orderlens.session import materialize
 from orderlens.sources import RetailTables
 
-# A ranking over at most this many products is sorted in one task; more are
-# split into ordered buckets of about this size.
-ROWS_PER_SORT = 1_000_000
-
 # Order states and customer segments.
 STATUSES = ("Processing", "Shipped", "Complete", "Cancelled", "Returned")
 SEGMENTS = ("No completed purchases", "One-time customer", "Repeat customer")
@@ -277,24 +273,10 @@ def _product_totals(items: DataFrame, products: DataFrame, as_of: date) -> DataF
     )
 
 
-def _ranked_in_one_sort(totals: DataFrame) -> DataFrame:
-    by_revenue = F.desc("recognized_revenue")
-    everything, category = Window.partitionBy(), Window.partitionBy("category")
-    revenue = F.sum("recognized_revenue")
-    return totals.withColumns(
-        {
-            "overall_revenue_rank": F.rank().over(everything.orderBy(by_revenue)).cast("bigint"),
-            "category_revenue_rank": F.rank().over(category.orderBy(by_revenue)).cast("bigint"),
-            "all_revenue": revenue.over(everything),
-            "category_revenue": revenue.over(category),
-        }
-    )
-
-
-def _ranked_in_buckets(totals: DataFrame, rows: int, rows_per_sort: int) -> DataFrame:
+def _ranked(totals: DataFrame, buckets: int) -> DataFrame:
     keys = ["category", "recognized_revenue"]
     cells = totals.groupBy(*keys).agg(F.count("*").alias("products"))
-    cells = value_buckets(cells, "recognized_revenue", rows, rows_per_sort)
+    cells = value_buckets(cells, "recognized_revenue", buckets)
     cells = with_ranks(
         cells,
         "recognized_revenue",
@@ -318,20 +300,7 @@ def _ranked_in_buckets(totals: DataFrame, rows: int, rows_per_sort: int) -> Data
     )
 
 
-def product_performance(
-    items: DataFrame, products: DataFrame, as_of: date, rows_per_sort: int = ROWS_PER_SORT
-) -> DataFrame:
-    """Sales, ranks and shares per sold product; money is left unrounded.
-
-    The per-product totals are stored once, because ranking reads them several
-    times. Their number decides how the ranking is sorted.
-    """
-    totals = materialize(_product_totals(items, products, as_of), "product-totals")
-    rows = totals.count()
-    if rows <= rows_per_sort:
-        ranked = _ranked_in_one_sort(totals)
-    else:
-        ranked = _ranked_in_buckets(totals, rows, rows_per_sort)
+def _performance(ranked: DataFrame) -> DataFrame:
     revenue, profit = F.col("recognized_revenue"), F.col("estimated_gross_profit")
     return ranked.select(
         F.col("id").alias("product_id"),
@@ -350,14 +319,44 @@ def product_performance(
     )
 
 
-def top_products(performance: DataFrame, n: int = 50) -> DataFrame:
-    """The ``n`` best-selling products with rounded money."""
-    amounts = ("recognized_revenue", "estimated_product_cost", "estimated_gross_profit")
-    return (
-        performance.orderBy("overall_revenue_rank", "product_id")
-        .limit(n)
-        .withColumns({c: round2(F.col(c)) for c in amounts})
+def product_performance(
+    items: DataFrame, products: DataFrame, as_of: date, buckets: int | None = None
+) -> DataFrame:
+    """Sales, ranks and shares per sold product; money is left unrounded.
+
+    Products are ranked in ordered buckets of their revenue, by default as many
+    as there are shuffle partitions. Nothing runs before the result is read.
+    """
+    if buckets is None:
+        buckets = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _performance(_ranked(_product_totals(items, products, as_of), buckets))
+
+
+def top_products(items: DataFrame, products: DataFrame, as_of: date, n: int = 50) -> DataFrame:
+    """The ``n`` best-selling products with rounded money.
+
+    Every product that ranks higher, overall or in its category, is among the
+    ``n`` as well, so they are ranked among themselves.
+    """
+    totals = _product_totals(items, products, as_of)
+    revenue = F.sum("recognized_revenue")
+    best = totals.orderBy(F.desc("recognized_revenue"), "id").limit(n)
+    by_revenue = F.desc("recognized_revenue")
+    everything, category = Window.partitionBy(), Window.partitionBy("category")
+    ranked = best.withColumns(
+        {
+            "overall_revenue_rank": F.rank().over(everything.orderBy(by_revenue)).cast("bigint"),
+            "category_revenue_rank": F.rank().over(category.orderBy(by_revenue)).cast("bigint"),
+            "all_revenue": totals.agg(revenue).scalar(),
+        }
     )
+    categories = totals.groupBy(F.col("category").alias("of_category")).agg(
+        revenue.alias("category_revenue")
+    )
+    joined = ranked.join(categories, same(ranked, categories, {"category": "of_category"}))
+    amounts = ("recognized_revenue", "estimated_product_cost", "estimated_gross_profit")
+    return _performance(joined).withColumns({c: round2(F.col(c)) for c in amounts})
+
 
 
 def monthly_order_status(orders: DataFrame, as_of: date) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,37 +29,40 @@ def configure(spark: SparkSession) -> SparkSession:
 
 # One shuffle partition per this much input.
 PARTITION_BYTES = 128 * 1024 * 1024
-# Up to 2000 partitions every block size is recorded, and a hot partition is
-# seen and split. Beyond that only average sizes are, unless the cluster was
-# started with this factor.
-RECORDED_PARTITIONS = 2000
-SKEWED_BLOCKS = "spark.shuffle.accurateBlockSkewedFactor"
-MOST_PARTITIONS = 32_768
 UNKNOWN_BYTES = 1 << 60
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SIZED = "orderlens.shuffles.sized"
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the files behind a frame, as the optimizer knows it; unknown counts 0."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of the files behind a frame, as the optimizer knows it; None if it does not."""
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
-    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+    return None if any(size >= UNKNOWN_BYTES for size in sizes) else sum(sizes)
 
 
-def size_shuffles(spark: SparkSession, *tables: DataFrame) -> None:
+def partitions_for(total: int, partition_bytes: int | None = None) -> int:
+    """Shuffle partitions for so many bytes; there is no upper limit."""
+    return max(1, -(-total // (partition_bytes or PARTITION_BYTES)))
+
+
+def size_shuffles(
+    spark: SparkSession, *tables: DataFrame, partition_bytes: int | None = None
+) -> None:
     """Start shuffles with enough partitions for the input.
 
     Adaptive execution merges small ones afterwards. A number chosen by the
-    user stays, and so does the configured one where it is large enough.
+    user stays, and so does the configured one where it is large enough. A
+    table of unknown size gives a warning and leaves the setting as it is.
     """
     chosen = spark.conf.get(INITIAL_PARTITIONS, None)
     if chosen is not None and chosen != spark.conf.get(SIZED, None):
         return
-    total = sum(input_bytes(t) for t in tables)
-    factor = float(spark.sparkContext.getConf().get(SKEWED_BLOCKS, "-1"))
-    most = MOST_PARTITIONS if factor > 0 else RECORDED_PARTITIONS
-    wanted = min(-(-total // PARTITION_BYTES), most)
+    sizes = [input_bytes(t) for t in tables]
+    if None in sizes:
+        warnings.warn("a table has no known size; set " + INITIAL_PARTITIONS, stacklevel=2)
+        return
+    wanted = partitions_for(sum(sizes), partition_bytes)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
         spark.conf.set(SIZED, str(wanted))
@@ -77,13 +82,27 @@ def shared_folder(spark: SparkSession) -> str:
     folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="orderlens-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _stored(spark: SparkSession) -> str:
+    folder = shared_folder(spark).rstrip("/")
+    return f"{folder}/orderlens/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all tables that this application has stored.
+
+    Call it when no frame that reads them is needed any more.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stored(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the stored table.
 
@@ -92,13 +111,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     column pruning and gives the optimizer true sizes.
     """
     spark = df.sparkSession
-    path = "/".join(
-        [
-            shared_folder(spark).rstrip("/"),
-            "orderlens",
-            spark.sparkContext.applicationId,
-            f"{label}-{uuid.uuid4().hex}",
-        ]
-    )
+    path = f"{_stored(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -94,7 +94,7 @@ def test_equal_revenue_shares_a_rank(spark):
     assert ranks[None]["estimated_gross_profit"] == 3
     performance = by(views.product_performance(df, products, AS_OF), "product_id")
     assert [performance[p]["overall_revenue_rank"] for p in (1, 2, 3)] == [1, 1, 3]
-    top = views.top_products(views.product_performance(df, products, AS_OF), 2).collect()
+    top = views.top_products(df, products, AS_OF, 2).collect()
     assert [r["product_id"] for r in top] == [1, 2]
 
 

@@ -30,7 +30,7 @@ def cells_of(spark, rows):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_ranks(spark, seed):
     rows = values(seed)
-    cells = ordering.value_buckets(cells_of(spark, rows), "value", 600, 40)
+    cells = ordering.value_buckets(cells_of(spark, rows), "value", 15)
     assert cells.select("bucket").distinct().count() > 5
     ranked = ordering.with_ranks(
         cells, "value", "n", "bucket", {"overall": [], "within": ["category"]}
@@ -78,7 +78,7 @@ def test_product_ranking_is_the_same_in_buckets(spark):
     tables = map_test_tables(spark, SMALL)
     whole = views.product_performance(tables.order_items, tables.products, TEST_AS_OF)
     split = views.product_performance(
-        tables.order_items, tables.products, TEST_AS_OF, rows_per_sort=9
+        tables.order_items, tables.products, TEST_AS_OF, buckets=23
     )
     assert split.columns == whole.columns
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
@@ -92,6 +92,6 @@ def test_product_ranking_with_equal_revenues_and_unknown_categories(spark):
     )
     columns = ["id", "overall_revenue_rank", "category_revenue_rank", "all_revenue",
                "category_revenue"]
-    one = views._ranked_in_one_sort(totals).select(columns).collect()
-    many = views._ranked_in_buckets(totals, 300, 20).select(columns).collect()
+    one = views._ranked(totals, 1).select(columns).collect()
+    many = views._ranked(totals, 15).select(columns).collect()
     assert sorted(map(tuple, one)) == sorted(map(tuple, many))

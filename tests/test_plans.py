@@ -69,7 +69,7 @@ def test_unused_item_counts_are_not_computed(tables):
 
 def test_product_sort_is_split_when_there_are_many(tables):
     ranked = views.product_performance(
-        tables.order_items, tables.products, TEST_AS_OF, rows_per_sort=20
+        tables.order_items, tables.products, TEST_AS_OF, buckets=10
     )
     plan = executed(ranked)
     # What is left in one task are bucket and grand totals, never products.
@@ -177,7 +177,7 @@ def test_a_revenue_shared_by_a_third_of_the_products_is_split(spark, skewed, tmp
         ),
     ).write.parquet(f"{tmp_path}/totals")
     totals = spark.read.parquet(f"{tmp_path}/totals")
-    ranked = views._ranked_in_buckets(totals, rows, 4_000)
+    ranked = views._ranked(totals, 10)
     assert "skew=true" in executed(ranked)
     shared = ranked.filter("recognized_revenue = 5 and category = '0'")
     assert shared.count() == rows / 3

@@ -25,7 +25,7 @@ def test_generated_tables(spark, generated, name):
 
 
 def test_every_query_has_a_statement():
-    assert set(registry.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(registry.oracle_sql())
 
 
 def test_entry(spark):

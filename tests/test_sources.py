@@ -98,7 +98,8 @@ def test_shuffles_follow_the_input_size(spark, settings, tables, monkeypatch):
     assert int(spark.conf.get(key)) == -(-session.input_bytes(tables.products) // 1000)
     monkeypatch.setattr(session, "PARTITION_BYTES", 1)
     session.size_shuffles(spark, tables.products)
-    assert int(spark.conf.get(key)) == session.RECORDED_PARTITIONS
+    assert int(spark.conf.get(key)) == session.input_bytes(tables.products)
+    assert session.partitions_for(100 << 40, 128 << 20) == 819_200
     monkeypatch.setattr(session, "PARTITION_BYTES", 1 << 30)
     session.size_shuffles(spark, tables.products)
     assert spark.conf.get(key, None) is None
@@ -106,3 +107,37 @@ def test_shuffles_follow_the_input_size(spark, settings, tables, monkeypatch):
     monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
     session.size_shuffles(spark, tables.products)
     assert spark.conf.get(key) == "7"
+
+
+def test_stored_tables_are_released(spark):
+    from pathlib import Path
+
+    from orderlens import session
+
+    materialize(spark.range(3), "kept-a-moment")
+    folder = Path(session._stored(spark).removeprefix("file:"))
+    assert any(folder.iterdir())
+    session.release(spark)
+    assert not folder.exists()
+
+
+def test_views_follow_their_source(spark, tmp_path):
+    """Building views runs no job, and a view sees rows that are added later."""
+    from orderlens.plans import views
+    from orderlens.sources import load_files
+    from orderlens.sources.mapping import TEST_AS_OF, map_test_tables
+
+    small = map_test_tables(spark, "/root/testdata/sf0.001")
+    for name in ("orders", "order_items", "products", "users"):
+        getattr(small, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    tables = load_files(spark, str(tmp_path))
+    spark.sparkContext.setJobGroup("build", "views")
+    views.build_views(tables, TEST_AS_OF)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("rest", "rest")
+    performance = views.product_performance(tables.order_items, tables.products, TEST_AS_OF)
+    before = performance.agg({"completed_items": "sum"}).first()[0]
+    small.order_items.write.mode("append").parquet(f"{tmp_path}/order_items.parquet")
+    again = load_files(spark, str(tmp_path))
+    performance = views.product_performance(again.order_items, again.products, TEST_AS_OF)
+    assert performance.agg({"completed_items": "sum"}).first()[0] == 2 * before
