@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 import public_tokenizers
@@ -44,20 +43,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def _encoded(tokenizer: bpe.Tokenizer, text: str) -> dict:
-    ids = tokenizer.encode(text)
-    return {
-        "n_tokens": len(ids),
-        "ids": ids.tolist(),
-        "decoded_sha256": hashlib.sha256(tokenizer.decode(ids)).hexdigest(),
-    }
-
-
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document and a digest of what they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
     schema = "n_tokens long, ids array<int>, decoded_sha256 string"
-    return bpe.encode(docs.select("doc_id", "text"), path, _encoded, schema).drop("text")
+    return bpe.encode(docs.select("doc_id", "text"), path, bpe.ids_and_digest, schema).drop("text")
 
 
 STAGES = [

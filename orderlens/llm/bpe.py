@@ -19,6 +19,7 @@ tokens; other columns pass through; rows are encoded one by one.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -301,6 +302,16 @@ def _ddl(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def ids_and_digest(tokenizer: Tokenizer, text: str) -> dict:
+    """The ids of a text, their number and a digest of what they decode to."""
+    ids = tokenizer.encode(text)
+    return {
+        "n_tokens": len(ids),
+        "ids": ids.tolist(),
+        "decoded_sha256": hashlib.sha256(tokenizer.decode(ids)).hexdigest(),
+    }
+
+
 def token_ids(docs: DataFrame, path: str, text: str = "text", name: str = "ids") -> DataFrame:
     """Add the token ids of every text as an array."""
 
