@@ -249,9 +249,29 @@ FROM documents d LEFT JOIN cuts USING (doc_id) LEFT JOIN rest r USING (doc_id)
 """
 
 
+OP9 = r"""
+WITH added(text) AS (VALUES ('{added}')), turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -1, 0, 'user', text FROM added
+  UNION ALL SELECT -1, 1, 'assistant', text FROM added
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+         AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(32 + length(role) + len(regexp_extract_all(role, '<\\*\|'))
+           + length(text) + len(regexp_extract_all(text, '<\\*\|')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     stops = sorted({w for group in quality_rules.STOP_WORDS.values() for w in group})
     return {
         "op2_line_dedup": OP2,
+        "op9_chat_formatting": OP9.replace("{added}", ADDED),
         "op1_quality_rules": OP1.replace("{stops}", ", ".join(f"'{w}'" for w in stops)),
     }
