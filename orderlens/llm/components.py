@@ -11,16 +11,15 @@ from orderlens.session import materialize
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node that is not its component's least node.
 
-    ``edges`` has the columns ``a`` and ``b``. Each round hangs the larger
+    ``edges`` is a stored table, or a union of some, with the columns ``a`` and
+    ``b``. Each round hangs the larger
     neighbours of a node, then its smaller ones, under the least neighbour; the
     number of rounds grows with the logarithm of the nodes. A hub is one row
     after its minimum is taken, and the join with its neighbours may be split.
     """
-    links = edges.filter("a <> b").select(
+    stars = edges.filter("a <> b").select(
         F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")
     )
-    stars = materialize(links.distinct(), "stars")
-    seen = _summary(stars)
     while True:
         both = stars.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(
             stars.select(F.col("root").alias("x"), F.col("node").alias("y"))
@@ -36,13 +35,16 @@ def components(edges: DataFrame) -> DataFrame:
         stars = materialize(
             moved.unionByName(under.withColumnRenamed("least", "root")).distinct(), "stars"
         )
-        now = _summary(stars)
-        if now == seen:
+        if _settled(stars):
             return stars
-        seen = now
 
 
-def _summary(stars: DataFrame) -> tuple:
-    """Equal for equal sets of links, as far as a 64-bit sum can tell."""
-    row = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node", "root"))).first()
-    return tuple(row)
+def _settled(stars: DataFrame) -> bool:
+    """Whether every node has one root and no root is a node."""
+    one, none = F.lit(1).alias("as_node"), F.lit(0).alias("as_node")
+    used = stars.select(F.col("node").alias("x"), one).unionByName(
+        stars.select(F.col("root").alias("x"), none)
+    )
+    per_x = used.groupBy("x").agg(F.sum("as_node").alias("roots"), F.min("as_node").alias("low"))
+    odd = (F.col("roots") > 1) | ((F.col("roots") == 1) & (F.col("low") == 0))
+    return per_x.agg(F.count_if(odd)).first()[0] == 0

@@ -14,10 +14,11 @@ to one leader. Links are confirmed on the full sets, and components are built.
 After that only members of one key in different components are of interest.
 A shingle that no other set in question has cannot be common; a set with too many
 of them is linked with nothing and goes, and pairs that cannot reach the
-similarity are not made. Rounds take up to ``LEADERS`` members per key that are
-outside its largest component, compare them with the members of other components, and drop them. A
-key is done when what remains is one component, so no link that could change a
-component is lost.
+similarity are not made. A round takes some members of each key that are outside
+its largest component, compares them with the members of other components, and
+drops them: ``LEADERS`` at first, then ``GROWTH`` times as many in every round, so
+that a key of n members takes log n rounds. A key is done when what remains is
+one component, so no link that could change a component is lost.
 
 Sets are compared in blocks of a leader's members, so a hot leader is many
 groups. All state between rounds is in stored tables.
@@ -48,6 +49,7 @@ CHUNKS = shingles.COMPONENTS // CHUNK
 # may be left out, so a pair is missed only with two in every chunk.
 DISTANCE = 2 * CHUNKS - 1
 LEADERS = 64
+GROWTH = 4
 # Members that are compared with a leader in one group.
 BLOCK = 512
 
@@ -93,7 +95,7 @@ def _keys(classes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """The full sets of these classes, from the text of one document of each."""
+    """The full sets and signatures of these classes, from the text of one document of each."""
     rows = docs.select(F.col(f"`{key}`").alias("rep"), F.col(f"`{text}`").alias("text"))
 
     def make():
@@ -102,11 +104,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
                 own = shingles.shingle_set(row["text"])
                 # Another text under the same id has another digest.
                 if len(own) and shingles.digest(own) == row["digest"]:
-                    yield {"digest": row["digest"], "members": own.tobytes()}
+                    yield {
+                        "digest": row["digest"],
+                        "members": own.tobytes(),
+                        "signed": shingles.signature(own).tobytes(),
+                    }
 
         return work
 
-    return by_rows(rows.join(wanted, "rep"), make, "digest binary, members binary")
+    schema = "digest binary, members binary, signed binary"
+    return by_rows(rows.join(wanted, "rep"), make, schema)
 
 
 class _Finder:
@@ -127,7 +134,7 @@ class _Finder:
         return pairs.join(one, "a").join(two, "b").filter(apart <= DISTANCE).select("a", "b")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets are similar enough; ``a`` is the leader."""
+        """The pairs (a, b) within the distance whose sets are similar enough; ``a`` leads."""
         counts = pairs.groupBy("a").agg(
             F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")
         )
@@ -137,9 +144,11 @@ class _Finder:
         heads = counts.select(
             "a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
         ).withColumn("b", F.col("a"))
-        # Rows repeated in the source have their set several times.
-        rows = members.unionByName(heads).join(
-            self.sets.withColumnRenamed("digest", "b"), "b"
+        # Rows repeated in the source have their set, and so a link, several times.
+        rows = (
+            members.unionByName(heads)
+            .join(self.sets.withColumnRenamed("digest", "b"), "b")
+            .select("a", "block", "b", "members", "signed")
         )
         partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         dealt = rows.repartition(partitions, "a", "block").sortWithinPartitions(
@@ -149,19 +158,22 @@ class _Finder:
 
         def make():
             def work(found: Iterator[dict]) -> Iterator[dict]:
-                group = head = None
+                group = head = sign = None
                 for row in found:
                     own = np.frombuffer(row["members"], np.uint64)
+                    signed = np.frombuffer(row["signed"], np.int32)
                     if (row["a"], row["block"]) != group:
-                        group, head = (row["a"], row["block"]), own
-                    elif row["a"] != row["b"] and shingles.linked(head, own, percent):
+                        group, head, sign = (row["a"], row["block"]), own, signed
+                    elif (
+                        row["a"] != row["b"]
+                        and np.count_nonzero(sign != signed) <= DISTANCE
+                        and shingles.linked(head, own, percent)
+                    ):
                         yield {"a": row["a"], "b": row["b"]}
 
             return work
 
-        return by_rows(
-            dealt.select("a", "block", "b", "members"), make, "a binary, b binary"
-        ).distinct()
+        return by_rows(dealt, make, "a binary, b binary")
 
 
 def _rooted(state: DataFrame, roots: DataFrame) -> DataFrame:
@@ -236,12 +248,11 @@ def _linkable(state: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _round(state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of unfinished keys, and this round's leaders of each."""
-    active = materialize(_unfinished(state), "active")
-    chosen = (
+def _leaders(active: DataFrame, slots: int) -> DataFrame:
+    """This round's leaders of every unfinished key, one for each slot."""
+    return (
         active.filter("root <> largest")
-        .groupBy("key", F.pmod(F.xxhash64("digest"), F.lit(LEADERS)).alias("slot"))
+        .groupBy("key", F.pmod(F.xxhash64("digest"), F.lit(slots)).alias("slot"))
         .agg(F.min(F.struct("digest", "root", "n", "s")).alias("first"))
         .select(
             "key",
@@ -251,7 +262,6 @@ def _round(state: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.col("first.s").alias("s_a"),
         )
     )
-    return active.drop("largest"), materialize(chosen, "leaders")
 
 
 def links(
@@ -278,22 +288,25 @@ def links(
     first = members.filter("digest <> leader").select(
         F.col("leader").alias("a"), F.col("digest").alias("b")
     )
-    checked = materialize(first.distinct(), "checked")
-    found = materialize(finder.linked(finder.near(checked)), "links")
-    roots = components(found)
+    checked = materialize(finder.near(first.distinct()), "checked")
+    roots = components(materialize(finder.linked(checked), "links"))
     state = _unfinished(_rooted(members.filter("digest <> leader").drop("leader"), roots))
     state = materialize(state.select("key", "digest"), "unfinished")
     state = materialize(state.join(_shareable(sets, state), "digest"), "unfinished")
     state = _linkable(state, percent)
+    slots = LEADERS
     while True:
-        active, leaders = _round(_rooted(state, roots))
-        if leaders.isEmpty():
+        active = materialize(_unfinished(_rooted(state, roots)), "active")
+        if active.isEmpty():
             return roots
+        leaders = materialize(_leaders(active, slots), "leaders")
         possible = F.least("s", "s_a") * (100 + percent) >= percent * (F.col("n") + F.col("n_a"))
         pairs = (
             leaders.join(
                 active,
-                (leaders["key"] == active["key"]) & (F.col("root") != F.col("root_a")) & possible,
+                (leaders["key"] == active["key"])
+                & (F.col("root") != F.col("root_a"))
+                & possible,
             )
             .select(F.least("a", "digest").alias("a"), F.greatest("a", "digest").alias("b"))
             .distinct()
@@ -306,10 +319,9 @@ def links(
         )
         fresh = materialize(fresh, "fresh")
         if not fresh.isEmpty():
-            more = materialize(finder.linked(finder.near(fresh)), "links")
             checked = checked.unionByName(fresh)
+            more = materialize(finder.linked(fresh), "links")
             if not more.isEmpty():
-                found = found.unionByName(more)
                 roots = components(
                     more.unionByName(
                         roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -318,6 +330,7 @@ def links(
         state = active.join(
             leaders.select("key", F.col("a").alias("digest")), ["key", "digest"], "left_anti"
         ).select("key", "digest", "n", "s")
+        slots *= GROWTH
 
 
 def near_duplicates(
