@@ -322,12 +322,12 @@ def cohort_start_check(
 # --- retention ------------------------------------------------------------
 
 
-def _expected_ages(cohort_month: Column, as_of: date) -> Column:
+def _expected_ages(cohort_month: Column, as_of: date, max_age: int) -> Column:
     last = F.lit(last_complete_month(as_of))
-    return F.least(F.lit(12), months_between(cohort_month, last)) + 1
+    return F.least(F.lit(max_age), months_between(cohort_month, last)) + 1
 
 
-def _retention_counts(retention: DataFrame, as_of: date) -> DataFrame:
+def _retention_counts(retention: DataFrame, as_of: date, max_age: int) -> DataFrame:
     age = F.col("months_since_first_purchase")
     active, size = F.col("active_customers"), F.col("cohort_customers")
     start = age == 0
@@ -343,7 +343,7 @@ def _retention_counts(retention: DataFrame, as_of: date) -> DataFrame:
             "month_zero_retention_mismatches"
         ),
         count_if((active > size) | (active < 0)).alias("invalid_active_customer_rows"),
-        count_if(~age.between(0, 12)).alias("invalid_cohort_age_rows"),
+        count_if(~age.between(0, max_age)).alias("invalid_cohort_age_rows"),
         count_if(
             F.col("activity_month") != F.add_months("cohort_month", age.cast("int"))
         ).alias("activity_month_mismatches"),
@@ -353,13 +353,15 @@ def _retention_counts(retention: DataFrame, as_of: date) -> DataFrame:
         count_if(F.col("retention_pct") != pct(active, size).cast("double")).alias(
             "retention_calculation_mismatches"
         ),
-        F.sum(F.when(start, _expected_ages(F.col("cohort_month"), as_of))).alias(
+        F.sum(F.when(start, _expected_ages(F.col("cohort_month"), as_of, max_age))).alias(
             "rows_expected_by_view"
         ),
     )
 
 
-def retention_check(retention: DataFrame, items: DataFrame, as_of: date) -> DataFrame:
+def retention_check(
+    retention: DataFrame, items: DataFrame, as_of: date, max_age: int = 12
+) -> DataFrame:
     """Retention against cohorts rebuilt from the source."""
     first_months = (
         recognized_items(items, as_of)
@@ -372,10 +374,10 @@ def retention_check(retention: DataFrame, items: DataFrame, as_of: date) -> Data
         (F.min("cohort_customers") != F.max("cohort_customers")).alias("changing")
     )
     totals = one_row(
-        _retention_counts(retention, as_of),
+        _retention_counts(retention, as_of, max_age),
         cohorts.agg(
             F.coalesce(F.sum("buyers"), F.lit(0)).alias("source_unique_buyers"),
-            F.sum(_expected_ages(F.col("cohort_month"), as_of)).alias("expected_rows"),
+            F.sum(_expected_ages(F.col("cohort_month"), as_of, max_age)).alias("expected_rows"),
         ),
         changing.agg(count_if(F.col("changing")).alias("cohorts_with_changing_size")),
     )
@@ -401,12 +403,14 @@ def retention_check(retention: DataFrame, items: DataFrame, as_of: date) -> Data
     )
 
 
-def retention_view_check(retention: DataFrame, items: DataFrame, as_of: date) -> DataFrame:
+def retention_view_check(
+    retention: DataFrame, items: DataFrame, as_of: date, max_age: int = 12
+) -> DataFrame:
     """The stored retention view against the number of source buyers."""
     buyers = recognized_items(items, as_of).agg(
         F.countDistinct("user_id").alias("source_unique_buyers")
     )
-    return one_row(_retention_counts(retention, as_of), buyers).select(
+    return one_row(_retention_counts(retention, as_of, max_age), buyers).select(
         "cohort_month_rows",
         "cohort_months",
         "cohort_size_total",
