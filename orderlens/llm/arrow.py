@@ -88,3 +88,39 @@ def sliced(rows: Iterator[dict], text: str) -> Iterator[list[dict]]:
             held, size = [], 0
     if held:
         yield held
+
+
+def kept_fields(docs: DataFrame, schema: str) -> list[str]:
+    """Names of the columns that results of this schema do not replace."""
+    from pyspark.sql.types import StructType
+
+    names = {f.name.lower() for f in StructType.fromDDL(schema).fields}
+    return [c for c in docs.columns if c.lower() not in names]
+
+
+def with_schema(docs: DataFrame, schema: str) -> str:
+    """The schema of the kept columns followed by the results."""
+    from pyspark.sql.types import StructType
+
+    added = StructType.fromDDL(schema).fields
+    fields = [docs.schema[name] for name in kept_fields(docs, schema)] + added
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+def with_results(docs: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str) -> DataFrame:
+    """Add the columns of ``schema`` that ``make()`` computes from each row.
+
+    They replace columns of the same names; all other columns pass through.
+    """
+    kept = kept_fields(docs, schema)
+
+    def task():
+        results = make()
+
+        def work(rows: Iterator[dict]) -> Iterator[dict]:
+            for row in rows:
+                yield {name: row[name] for name in kept} | results(row)
+
+        return work
+
+    return by_rows(docs, task, with_schema(docs, schema))
