@@ -21,8 +21,8 @@ Texts are cut into pieces by the pattern of the vocabulary. Which characters are
 letters, digits and white space is asked of the library that defines the result,
 as the pattern engine used here may know another version of Unicode.
 
-Pieces and pairs are kept in tables of bounded size; a full table is emptied,
-which changes no result. Defined results: null text is empty text and has no
+Pieces, pairs and short strings are kept in tables of bounded size; a full table
+is emptied, which changes no result. Defined results: null text is empty text and has no
 tokens; empty tables give empty tables; rows are encoded one by one, so repeated
 rows and ids do not matter; extra columns pass through unless they have the name
 of a result. A text of any length is encoded in one row, its pieces one after
@@ -34,8 +34,8 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from array import array
 from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 import regex
@@ -46,8 +46,10 @@ from orderlens.llm.arrow import with_results
 # Entries that a table of pieces or pairs may hold, and the longest piece kept.
 TABLE_ENTRIES = 400_000
 KEPT_CHARS = 64
-# Bytes that are merged without being halved.
+# Bytes that are merged without being halved, and the longest strings of which
+# the merged tokens are kept: leaves and windows are few and come again.
 LEAF_BYTES = 4
+KEPT_BYTES = 12
 # Tokens whose bytes are concatenated at once.
 LEAF_TOKENS = 1 << 12
 
@@ -124,9 +126,20 @@ class TreeEncoder:
         if missing:
             raise ValueError(f"no token for the bytes {missing}")
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.merged: dict[bytes, list[int]] = {}
 
     def merge(self, raw: bytes) -> list[int]:
         """Tokens by merging: the pair of least rank first, of equal ones the leftmost."""
+        ids = self.merged.get(raw)
+        if ids is None:
+            ids = self._merge(raw)
+            if len(raw) <= KEPT_BYTES:
+                if len(self.merged) >= TABLE_ENTRIES:
+                    self.merged.clear()
+                self.merged[raw] = ids
+        return ids
+
+    def _merge(self, raw: bytes) -> list[int]:
         rank = self.ranks.get
         n = len(raw)
         stop = list(range(1, n + 1))
@@ -195,7 +208,7 @@ class TreeEncoder:
     def decode(self, ids: list[int] | np.ndarray) -> bytes:
         """The bytes of the tokens, concatenated up a tree."""
         if len(ids) <= LEAF_TOKENS:
-            return b"".join([self.bytes[t] for t in ids])
+            return b"".join([self.bytes[t] for t in np.asarray(ids).tolist()])
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
@@ -212,19 +225,21 @@ class Tokenizer:
         raw = piece.encode()
         # A piece that is a token is that token, also if no merges lead to it.
         whole = self.tree.ranks.get(raw)
-        ids = [whole] if whole is not None else self.tree.encode(raw)
-        if len(piece) <= KEPT_CHARS:
-            if len(self.known) >= TABLE_ENTRIES:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
+        return [whole] if whole is not None else self.tree.encode(raw)
 
     def encode(self, text: str) -> np.ndarray:
-        ids = array("I")
-        known, extend = self.known, ids.extend
-        for piece in self.pieces.cut(text):
-            extend(known.get(piece) or self._piece(piece))
-        return np.frombuffer(ids, np.uint32) if len(ids) else np.empty(0, np.uint32)
+        known, pieces = self.known, self.pieces.cut(text)
+        new = set(pieces).difference(known)
+        if len(known) + len(new) > TABLE_ENTRIES:
+            known.clear()
+            new = set(pieces)
+        for piece in new:
+            known[piece] = self._piece(piece)
+        ids = list(chain.from_iterable(map(known.__getitem__, pieces)))
+        for piece in new:
+            if len(piece) > KEPT_CHARS:
+                del known[piece]
+        return np.array(ids, np.uint32)
 
     def decode(self, ids: list[int] | np.ndarray) -> bytes:
         return self.tree.decode(ids)
