@@ -6,6 +6,8 @@ exact decimal inside and DOUBLE in the result.
 
 from __future__ import annotations
 
+import re
+
 MONTH_START = "DATE '2001-07-01'"
 AS_OF = "DATE '2001-07-15'"
 LAST_MONTH = "DATE '2001-06-01'"
@@ -138,8 +140,9 @@ PARTS: dict[str, str] = {
         SELECT u.id, count(p.order_id) AS orders, coalesce(sum(p.spent), 0) AS revenue
         FROM usr u LEFT JOIN purchases p ON p.user_id = u.id GROUP BY u.id""",
     "customer_segments": f"""
-        SELECT CASE least(orders, 2) WHEN 0 THEN 'No completed purchases'
-               WHEN 1 THEN 'One-time customer' ELSE 'Repeat customer' END AS customer_segment,
+        SELECT CASE WHEN orders = 0 THEN 'No completed purchases'
+               WHEN orders = 1 THEN 'One-time customer' ELSE 'Repeat customer' END
+            AS customer_segment,
           count(*) AS customers, {isum('orders')} AS completed_orders,
           {msum('revenue')} AS recognized_revenue,
           {rdiv('sum(orders)', 'count(*)')} AS average_orders_per_customer,
@@ -796,7 +799,7 @@ def check_selects() -> dict[str, tuple[str, str, str]]:
                 "product_performance",
                 f""", {n_if('product_id IS NULL OR product_name IS NULL OR category IS NULL')}
                     AS missing_product_attributes,
-                  {n_if('least(overall_revenue_rank, category_revenue_rank) < 1')}
+                  {n_if('overall_revenue_rank < 1 OR category_revenue_rank < 1')}
                     AS invalid_ranks""",
                 "missing_product_attributes, invalid_ranks,",
                 "product_view_matches_source",
@@ -907,6 +910,7 @@ ZERO_RULES = {
         month_zero_retention_mismatches invalid_active_customer_rows invalid_cohort_age_rows
         activity_month_mismatches incomplete_or_future_month_rows
         retention_calculation_mismatches cohorts_with_changing_size"""),
+    "product_totals": ("product_reconcile", "category_mismatches"),
     "products": ("product_view_reconcile", """
         invalid_ranks category_mismatches missing_product_attributes"""),
     "order_status": ("status_check", """
@@ -929,6 +933,12 @@ FLAG_RULES = {
         expected_spine_rows_match one_month_zero_row_per_cohort cohort_sizes_match_buyers"""),
     "product_foundation": ("product_foundation_reconcile", """
         one_row_per_item monthly_view_matches_source category_view_matches_source"""),
+    "product_totals": ("product_reconcile", """
+        one_row_per_product product_totals_match_source categories_match_existing_view"""),
+    "order_foundation": ("order_foundation", """
+        one_row_per_order known_statuses_cover_all_orders"""),
+    "duration_foundation": ("duration_foundation", """
+        one_row_per_candidate_order all_candidates_accounted_for"""),
     "products": ("product_view_reconcile", """
         one_row_per_product product_view_matches_source categories_match_existing_view"""),
     "order_status": ("status_check", """
@@ -938,13 +948,29 @@ FLAG_RULES = {
 
 def validation_statement() -> str:
     """Every rule of every check as check_name, scope, metric, value, passed."""
-    selects = check_selects()
+    selects = check_selects() | {
+        "order_foundation": (
+            "ord",
+            f"""SELECT count(*) = count(DISTINCT order_id) AS one_row_per_order,
+                count(*) = {n_if(f"status IN {STATUSES}")} AS known_statuses_cover_all_orders
+            FROM ord WHERE created_at < {MONTH_START}""",
+            "",
+        ),
+        "duration_foundation": (
+            "graded",
+            f"""SELECT duration_type,
+                count(*) = count(DISTINCT order_id) AS one_row_per_candidate_order,
+                count(*) = count(grade) AS all_candidates_accounted_for
+            FROM graded GROUP BY duration_type""",
+            "",
+        ),
+    }
     used = {c for c, _ in [*ZERO_RULES.values(), *FLAG_RULES.values()]}
     reads = " ".join(selects[c][0] for c in used)
     rows = []
     for rules, passed in ((ZERO_RULES, "{} = 0"), (FLAG_RULES, "{}")):
         for label, (check, metrics) in rules.items():
-            scope = "duration_type" if check == "duration_check" else "'all'"
+            scope = "duration_type" if check.startswith("duration_") else "'all'"
             rows += [
                 f"SELECT '{label}' AS check_name, {scope} AS scope, '{m}' AS metric, "
                 f"CAST({m} AS VARCHAR) AS value, coalesce({passed.format(m)}, false) AS passed "
@@ -956,8 +982,51 @@ def validation_statement() -> str:
     return f"WITH {named},\n{done}\n" + "\nUNION ALL\n".join(rows)
 
 
+# The state of orders and items at the end of 10 June 2001, from the times of events.
+KNOWN = "TIMESTAMP '2001-06-11'"
+KNOWN_STATUS = f"""
+    CASE WHEN status IN ('Returned', 'Complete', 'Shipped') AND shipped_at >= {KNOWN}
+              AND (status = 'Shipped' OR delivered_at >= {KNOWN})
+              AND (status <> 'Returned' OR returned_at >= {KNOWN}) THEN 'Processing'
+         WHEN status IN ('Returned', 'Complete') AND delivered_at >= {KNOWN}
+              AND (status = 'Complete' OR returned_at >= {KNOWN}) THEN 'Shipped'
+         WHEN status = 'Returned' AND returned_at >= {KNOWN} THEN 'Complete'
+         ELSE status END AS status"""
+KNOWN_EVENTS = ", ".join(
+    f"CASE WHEN {e}_at < {KNOWN} THEN {e}_at END AS {e}_at" for e in EVENTS[1:]
+)
+
+
+def known(part: str) -> str:
+    """Orders or items as they were known then."""
+    replaced = ", ".join(c for c in [KNOWN_STATUS, KNOWN_EVENTS])
+    return f"""SELECT * REPLACE ({replaced}) FROM {part}
+        WHERE created_at IS NULL OR created_at < {KNOWN}"""
+
+
+def earlier(name: str) -> str:
+    """A subquery over the earlier state; the subqueries it reads are renamed alike."""
+    if name in ("ord", "itm"):
+        return known(name)
+    renamed = set(_ordered([name], [])) & EARLIER
+    words = "|".join(sorted(renamed, key=len, reverse=True))
+    return re.sub(rf"\b(FROM|JOIN)(\s+)({words})\b", r"\1\2known_\3", PARTS[name])
+
+
+def _reach_orders() -> set[str]:
+    """The subqueries that read orders or items, and these two."""
+    return {
+        n
+        for n in [*READS, "ord", "itm"]
+        if n not in ("sent", "arrived", "parents") and {"ord", "itm"} & set(_ordered([n], []))
+    }
+
+
+EARLIER = _reach_orders()
+
+
 def drift_statement() -> str:
-    """Totals of the views, equal in both runs of an unchanged source."""
+    """Totals of the views of two runs: one over the earlier state, one over the present."""
     totals = {
         "monthly_revenue": "completed_orders completed_items recognized_revenue",
         "category_performance": "completed_items recognized_revenue estimated_gross_profit",
@@ -968,25 +1037,70 @@ def drift_statement() -> str:
         "monthly_order_status": "created_orders currently_open_orders",
         "monthly_order_durations": "ended_orders valid_duration_orders",
     }
+    parts = _ordered(list(totals), [])
+    named = [f"{n} AS ({PARTS[n]})" for n in parts]
+    named += [f"known_{n} AS ({earlier(n)})" for n in parts if n in EARLIER]
     rows = " UNION ALL ".join(
-        f"SELECT '{view}' AS view_name, '{m}' AS metric, CAST(sum({m}) AS DOUBLE) AS total "
-        f"FROM {view}"
+        f"""SELECT '{view}' AS view_name, '{m}' AS metric,
+              (SELECT CAST(sum({m}) AS DOUBLE) FROM known_{view}) AS earlier_value,
+              (SELECT CAST(sum({m}) AS DOUBLE) FROM {view}) AS later_value"""
         for view, metrics in totals.items()
         for m in metrics.split()
     )
-    return statement(
-        " ".join(totals),
-        f"""SELECT view_name, metric, total AS earlier_value, total AS later_value,
-            false AS drifted FROM ({rows})""",
+    return f"""WITH {", ".join(named)}
+        SELECT *, earlier_value IS DISTINCT FROM later_value AS drifted FROM ({rows})"""
+
+
+def location_statement() -> str:
+    """Items of two states compared row by row, without checksums."""
+    sides = " UNION ALL ".join(
+        f"""SELECT {month('created_at')} AS month, CAST(created_at AS DATE) AS day, id,
+              {side} AS side, count(*) AS n, string_agg(body, ',' ORDER BY body) AS body
+            FROM (SELECT created_at, id, CAST({part} AS VARCHAR) AS body FROM {part})
+            GROUP BY ALL"""
+        for side, part in ((1, "known_itm"), (2, "itm"))
     )
+    reads = ", ".join(f"{n} AS ({PARTS[n]})" for n in _ordered(["itm"], []))
+    return f"""
+        WITH {reads}, known_itm AS ({earlier('itm')}),
+        keys AS (
+          SELECT month, day, id, coalesce(sum(n) FILTER (WHERE side = 1), 0) AS a,
+            coalesce(sum(n) FILTER (WHERE side = 2), 0) AS b,
+            max(body) FILTER (WHERE side = 1)
+              IS DISTINCT FROM max(body) FILTER (WHERE side = 2) AS differs
+          FROM ({sides}) GROUP BY month, day, id),
+        days AS (SELECT month, day, sum(a) AS a, sum(b) AS b, bool_or(differs) AS differs
+                 FROM keys GROUP BY month, day),
+        months AS (SELECT month, sum(a) AS a, sum(b) AS b, bool_or(differs) AS differs
+                   FROM days GROUP BY month),
+        listed AS (
+          SELECT 'month' AS level, month, NULL::DATE AS day, NULL AS id, 'none' AS change, a, b
+          FROM months WHERE NOT differs
+          UNION ALL
+          SELECT 'day', d.month, d.day, NULL, 'none', d.a, d.b
+          FROM days d JOIN months m ON d.month IS NOT DISTINCT FROM m.month
+          WHERE m.differs AND NOT d.differs
+          UNION ALL
+          SELECT 'key', month, day, id,
+            CASE WHEN a = 0 THEN 'added' WHEN b = 0 THEN 'removed' ELSE 'changed' END, a, b
+          FROM keys WHERE differs)
+        SELECT level, month, day, id, change, CAST(a AS BIGINT) AS earlier_rows,
+          CAST(b AS BIGINT) AS later_rows FROM listed"""
 
 
 def statements() -> dict[str, str]:
+    views = view_statements()
     return {
-        **view_statements(),
+        **views,
         **audit_statements(),
         **check_statements(),
         **dashboard_statements(),
         "validate_all": validation_statement(),
+        "validate_deployed": validation_statement(),
         "snapshot_drift": drift_statement(),
+        "drift_location": location_statement(),
+        "refreshed_revenue": views["monthly_revenue"],
+        "refreshed_growth": views["monthly_revenue_growth"],
+        "refreshed_status": views["monthly_order_status"],
+        "refreshed_durations": views["monthly_order_durations"],
     }

@@ -35,7 +35,8 @@ from orderlens.operators.durations import (
     VALID,
     classified_durations,
 )
-from orderlens.operators.ordering import approximate_quantiles, quantiles
+from orderlens.operators.hotkeys import join_parents
+from orderlens.operators.ordering import approximate_quantiles, magnitude, quantiles
 from orderlens.operators.rows import one_row, recognized_items, with_copies
 from orderlens.plans.views import STATUSES, recognized_by_month
 from orderlens.sources import RetailTables
@@ -186,41 +187,53 @@ def product_join_coverage(items: DataFrame, products: DataFrame) -> DataFrame:
 def referential_integrity(tables: RetailTables) -> DataFrame:
     """Items without a parent row, and items that disagree with their order.
 
-    Repeated parent rows are joined as counts. Orders and products are grouped
-    by more than the join key: the join then shuffles both sides itself, and a
-    hot key can be split at run time. Items are collapsed per user before the
-    user join, where both sides are unique.
+    Repeated parent rows are joined as counts. What an item says of its order is
+    decided right after the order join and counted per product and user; the
+    counts are then joined with the products and, per user, with the users. The
+    orders of many items are joined in parts.
     """
     orders = with_copies(
         tables.orders,
         F.col("order_id").alias("parent_id"),
         F.col("user_id").alias("parent_user"),
         F.col("status").alias("parent_status"),
-    ).withColumnRenamed("copies", "order_rows")
+    )
     products = with_copies(
         tables.products, F.col("id").alias("known_product"), "category"
     ).withColumnRenamed("copies", "product_rows")
     users = with_copies(tables.users, F.col("id").alias("known_user"))
 
     items = tables.order_items.select("order_id", "product_id", "user_id", "status")
-    joined = items.join(orders, items["order_id"] == orders["parent_id"], "left").join(
-        products, items["product_id"] == products["known_product"], "left"
-    )
-    rows = F.coalesce("order_rows", F.lit(1)) * F.coalesce("product_rows", F.lit(1))
+    joined = join_parents(items, orders, "order_id", "parent_id", "left")
+    rows = F.coalesce("copies", F.lit(1))
     has_order = F.col("parent_id").isNotNull()
     flags = {
         "order_item_rows": F.lit(True),
         "items_without_order": ~has_order,
-        "items_without_product": F.col("known_product").isNull(),
         "item_order_user_mismatches": has_order & (F.col("user_id") != F.col("parent_user")),
         "item_order_status_mismatches": has_order & (F.col("status") != F.col("parent_status")),
     }
-    per_user = joined.groupBy("user_id").agg(
+    counted = joined.groupBy("product_id", "user_id").agg(
         *[sum_if(condition, rows).alias(name) for name, condition in flags.items()]
     )
+    known = counted.join(
+        products, counted["product_id"] == products["known_product"], "left"
+    ).withColumn("product_rows", F.coalesce("product_rows", F.lit(1)))
+    unknown = F.col("known_product").isNull()
+    per_user = known.groupBy("user_id").agg(
+        *[F.sum(F.col(name) * F.col("product_rows")).alias(name) for name in flags],
+        sum_if(unknown, F.col("order_item_rows")).alias("items_without_product"),
+    )
     checked = per_user.join(users, per_user["user_id"] == users["known_user"], "left")
     user_rows = F.coalesce("copies", F.lit(1))
-    totals = {name: F.coalesce(F.sum(F.col(name) * user_rows), F.lit(0)) for name in flags}
+    names = (
+        "order_item_rows",
+        "items_without_order",
+        "items_without_product",
+        "item_order_user_mismatches",
+        "item_order_status_mismatches",
+    )
+    totals = {name: F.coalesce(F.sum(F.col(name) * user_rows), F.lit(0)) for name in names}
     totals["items_without_user"] = sum_if(
         F.col("known_user").isNull(), F.col("order_item_rows")
     )
@@ -292,38 +305,44 @@ def delivery_month_continuity(items: DataFrame, as_of: date) -> DataFrame:
 # --- prices ---------------------------------------------------------------
 
 
+def _sold_prices(items: DataFrame) -> DataFrame:
+    """Items of each product and price. A product has no more rows than prices."""
+    return items.groupBy("product_id", "sale_price").agg(F.count("*").alias("items"))
+
+
 def price_cost_quality(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Missing, negative and loss-making prices over an item-product left join."""
+    """Missing, negative and loss-making prices over an item-product left join.
+
+    Items are counted per product and price before the join.
+    """
     costs = with_copies(products, F.col("id").alias("known_product"), "cost")
-    joined = items.select(
-        "product_id", "sale_price", money(items, "sale_price").alias("amount")
-    ).join(costs, F.col("product_id") == F.col("known_product"), "left")
-    joined = joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
-    copies, price, cost = F.col("copies"), F.col("sale_price"), F.col("cost")
-    total = F.sum(times(joined, "amount", copies))
+    sold = _sold_prices(items).withColumn("amount", money(items, "sale_price"))
+    joined = join_parents(sold, costs, "product_id", "known_product", "left")
+    joined = joined.withColumn("rows", F.coalesce("copies", F.lit(1)) * F.col("items"))
+    rows, price, cost = F.col("rows"), F.col("sale_price"), F.col("cost")
+    total = F.sum(times(joined, "amount", rows))
     return joined.agg(
-        F.coalesce(F.sum(copies), F.lit(0)).alias("order_item_rows"),
-        sum_if(price.isNull(), copies).alias("missing_sale_price"),
-        sum_if(price < 0, copies).alias("negative_sale_price"),
-        sum_if(cost.isNull(), copies).alias("missing_product_cost"),
-        sum_if(cost < 0, copies).alias("negative_product_cost"),
-        sum_if(price < cost, copies).alias("items_sold_below_cost"),
+        F.coalesce(F.sum(rows), F.lit(0)).alias("order_item_rows"),
+        sum_if(price.isNull(), rows).alias("missing_sale_price"),
+        sum_if(price < 0, rows).alias("negative_sale_price"),
+        sum_if(cost.isNull(), rows).alias("missing_product_cost"),
+        sum_if(cost < 0, rows).alias("negative_product_cost"),
+        sum_if(price < cost, rows).alias("items_sold_below_cost"),
         round2(F.min("amount")).alias("minimum_sale_price"),
         round2(F.max("amount")).alias("maximum_sale_price"),
-        ratio2(total, F.sum(F.when(price.isNotNull(), copies))).alias("average_sale_price"),
+        ratio2(total, F.sum(F.when(price.isNotNull(), rows))).alias("average_sale_price"),
     )
 
 
 def price_distribution(items: DataFrame, products: DataFrame) -> DataFrame:
     """Price thresholds and exact percentiles over an item-product inner join.
 
-    Items are collapsed to distinct prices; percentiles are located among
-    buckets of 100 currency units and then inside one bucket.
+    Items are counted per product and price before the join and per price after
+    it; percentiles are located among buckets that follow the prices and then
+    inside one bucket.
     """
     retail = with_copies(products, F.col("id").alias("known_product"), "retail_price")
-    joined = items.select("product_id", "sale_price").join(
-        retail, F.col("product_id") == F.col("known_product")
-    )
+    joined = join_parents(_sold_prices(items), retail, "product_id", "known_product")
     price, rows = F.col("sale_price"), F.col("rows")
     differs = F.abs(price - F.col("retail_price")) > F.lit("0.01").cast(
         joined.schema["sale_price"].dataType
@@ -332,9 +351,9 @@ def price_distribution(items: DataFrame, products: DataFrame) -> DataFrame:
     # columns both readers share one shuffle.
     cells = (
         joined.groupBy("sale_price", differs.alias("differs"))
-        .agg(F.sum("copies").alias("rows"))
+        .agg(F.sum(F.col("copies") * F.col("items")).alias("rows"))
         .withColumn("priced_rows", F.when(price.isNull(), 0).otherwise(rows))
-        .withColumn("hundreds", F.floor(price / 100))
+        .withColumn("bucket", magnitude("sale_price"))
     )
     counts = cells.agg(
         F.coalesce(F.sum(rows), F.lit(0)).alias("order_item_rows"),
@@ -344,7 +363,7 @@ def price_distribution(items: DataFrame, products: DataFrame) -> DataFrame:
         sum_if(F.col("differs"), rows).alias("sale_retail_price_differences"),
     )
     percents = {"sale_price_p01": 1, "sale_price_median": 50, "sale_price_p99": 99}
-    points = quantiles(cells, "sale_price", "priced_rows", [], "hundreds", percents)
+    points = quantiles(cells, "sale_price", "priced_rows", [], "bucket", percents)
     return one_row(counts, points.select(*[round2(F.col(c)).alias(c) for c in percents]))
 
 

@@ -27,11 +27,12 @@ from orderlens.operators.durations import (
     VALID,
     classified_durations,
 )
+from orderlens.operators.hotkeys import join_parents
 from orderlens.operators.ordering import (
     approximate_quantiles,
+    magnitude,
     quantiles,
     same,
-    value_buckets,
     with_ranks,
 )
 from orderlens.operators.rows import eligible_orders, recognized_items, with_copies
@@ -59,8 +60,13 @@ def monthly_revenue(items: DataFrame, as_of: date) -> DataFrame:
     Revenue is rounded before months are compared, and months without a
     delivery have no row.
     """
+    return revenue_of_months(recognized_by_month(items, as_of))
+
+
+def revenue_of_months(months: DataFrame) -> DataFrame:
+    """``monthly_revenue`` from the rows of ``recognized_by_month``."""
     revenue = F.col("recognized_revenue")
-    rounded = recognized_by_month(items, as_of).select(
+    rounded = months.select(
         "revenue_month",
         "completed_orders",
         "completed_items",
@@ -82,7 +88,7 @@ def category_performance(items: DataFrame, products: DataFrame, as_of: date) ->
         "product_id", "order_id", money(items, "sale_price").alias("price")
     )
     priced = with_copies(products, "id", "category", money(products, "cost").alias("cost"))
-    joined = sold.join(priced, sold["product_id"] == priced["id"]).withColumn(
+    joined = join_parents(sold, priced, "product_id", "id").withColumn(
         "profit", F.col("price") - F.col("cost")
     )
     copies = F.col("copies")
@@ -152,7 +158,12 @@ def monthly_revenue_growth(items: DataFrame, as_of: date) -> DataFrame:
     results are rounded last. Rolling figures are NULL until their window holds
     3 or 12 months.
     """
-    filled = fill_months(recognized_by_month(items, as_of), "revenue_month")
+    return growth_of_months(recognized_by_month(items, as_of))
+
+
+def growth_of_months(months: DataFrame) -> DataFrame:
+    """``monthly_revenue_growth`` from the rows of ``recognized_by_month``."""
+    filled = fill_months(months, "revenue_month")
     by_month = Window.orderBy("revenue_month")
     series = filled.select(
         "revenue_month",
@@ -273,10 +284,10 @@ def _product_totals(items: DataFrame, products: DataFrame, as_of: date) -> DataF
     )
 
 
-def _ranked(totals: DataFrame, buckets: int) -> DataFrame:
+def _ranked(totals: DataFrame) -> DataFrame:
     keys = ["category", "recognized_revenue"]
     cells = totals.groupBy(*keys).agg(F.count("*").alias("products"))
-    cells = value_buckets(cells, "recognized_revenue", buckets)
+    cells = cells.withColumn("bucket", magnitude("recognized_revenue"))
     cells = with_ranks(
         cells,
         "recognized_revenue",
@@ -289,15 +300,19 @@ def _ranked(totals: DataFrame, buckets: int) -> DataFrame:
         "overall_revenue_rank",
         "category_revenue_rank",
     )
-    revenue = F.sum("recognized_revenue")
-    categories = totals.groupBy(F.col("category").alias("of_category")).agg(
-        revenue.alias("category_revenue")
+    categories = _category_revenue(totals)
+    return totals.join(ranks, same(totals, ranks, {k: f"cell_{k}" for k in keys})).join(
+        categories, same(totals, categories, {"category": "of_category"})
     )
-    return (
-        totals.join(ranks, same(totals, ranks, {k: f"cell_{k}" for k in keys}))
-        .join(categories, same(totals, categories, {"category": "of_category"}))
-        .withColumn("all_revenue", totals.agg(revenue).scalar())
+
+
+def _category_revenue(totals: DataFrame) -> DataFrame:
+    """Revenue of each category and of all; the window sees one row per category."""
+    categories = totals.groupBy(F.col("category").alias("of_category")).agg(
+        F.sum("recognized_revenue").alias("category_revenue")
     )
+    everything = F.sum("category_revenue").over(Window.partitionBy())
+    return categories.withColumn("all_revenue", everything)
 
 
 def _performance(ranked: DataFrame) -> DataFrame:
@@ -319,17 +334,13 @@ def _performance(ranked: DataFrame) -> DataFrame:
     )
 
 
-def product_performance(
-    items: DataFrame, products: DataFrame, as_of: date, buckets: int | None = None
-) -> DataFrame:
+def product_performance(items: DataFrame, products: DataFrame, as_of: date) -> DataFrame:
     """Sales, ranks and shares per sold product; money is left unrounded.
 
-    Products are ranked in ordered buckets of their revenue, by default as many
-    as there are shuffle partitions. Nothing runs before the result is read.
+    Products are ranked in ordered buckets of their revenue. Nothing runs before
+    the result is read.
     """
-    if buckets is None:
-        buckets = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _performance(_ranked(_product_totals(items, products, as_of), buckets))
+    return _performance(_ranked(_product_totals(items, products, as_of)))
 
 
 def top_products(items: DataFrame, products: DataFrame, as_of: date, n: int = 50) -> DataFrame:
@@ -339,7 +350,6 @@ def top_products(items: DataFrame, products: DataFrame, as_of: date, n: int = 50
     ``n`` as well, so they are ranked among themselves.
     """
     totals = _product_totals(items, products, as_of)
-    revenue = F.sum("recognized_revenue")
     best = totals.orderBy(F.desc("recognized_revenue"), "id").limit(n)
     by_revenue = F.desc("recognized_revenue")
     everything, category = Window.partitionBy(), Window.partitionBy("category")
@@ -347,24 +357,17 @@ def top_products(items: DataFrame, products: DataFrame, as_of: date, n: int = 50
         {
             "overall_revenue_rank": F.rank().over(everything.orderBy(by_revenue)).cast("bigint"),
             "category_revenue_rank": F.rank().over(category.orderBy(by_revenue)).cast("bigint"),
-            "all_revenue": totals.agg(revenue).scalar(),
         }
     )
-    categories = totals.groupBy(F.col("category").alias("of_category")).agg(
-        revenue.alias("category_revenue")
-    )
+    categories = _category_revenue(totals)
     joined = ranked.join(categories, same(ranked, categories, {"category": "of_category"}))
     amounts = ("recognized_revenue", "estimated_product_cost", "estimated_gross_profit")
     return _performance(joined).withColumns({c: round2(F.col(c)) for c in amounts})
 
 
-
-def monthly_order_status(orders: DataFrame, as_of: date) -> DataFrame:
-    """Current status of the orders created in each month.
-
-    A month without orders counts 0 and has NULL shares.
-    """
-    monthly = (
+def status_by_month(orders: DataFrame, as_of: date) -> DataFrame:
+    """Orders and orders of each status per month of creation."""
+    return (
         eligible_orders(orders, as_of)
         .groupBy(month_of("created_at").alias("created_month"))
         .agg(
@@ -375,7 +378,19 @@ def monthly_order_status(orders: DataFrame, as_of: date) -> DataFrame:
             ],
         )
     )
-    filled = fill_months(monthly, "created_month")
+
+
+def monthly_order_status(orders: DataFrame, as_of: date) -> DataFrame:
+    """Current status of the orders created in each month.
+
+    A month without orders counts 0 and has NULL shares.
+    """
+    return status_of_months(status_by_month(orders, as_of))
+
+
+def status_of_months(months: DataFrame) -> DataFrame:
+    """``monthly_order_status`` from the rows of ``status_by_month``."""
+    filled = fill_months(months, "created_month")
     counts = ["created_orders", *[f"{s.lower()}_orders" for s in STATUSES]]
 
     def count(name: str) -> Column:

@@ -94,6 +94,11 @@ def _stored(spark: SparkSession) -> str:
     return f"{folder}/orderlens/{spark.sparkContext.applicationId}"
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder beside the stored tables, removed with them."""
+    return f"{_stored(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def release(spark: SparkSession) -> None:
     """Remove all tables that this application has stored.
 

@@ -6,6 +6,8 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.sources.contract import TableContract
+
 
 @dataclass(frozen=True)
 class RetailTables:
@@ -29,14 +31,25 @@ class RetailTables:
 TABLE_NAMES = tuple(f.name for f in fields(RetailTables))
 
 
-def load_files(spark: SparkSession, folder: str, file_format: str = "parquet") -> RetailTables:
-    """Read ``folder/<table>.<format>`` for each of the four tables."""
-    return RetailTables(
-        **{
-            name: spark.read.format(file_format).load(f"{folder}/{name}.{file_format}")
-            for name in TABLE_NAMES
-        }
-    )
+def load_files(
+    spark: SparkSession,
+    folder: str,
+    file_format: str = "parquet",
+    contracts: dict[str, TableContract] | None = None,
+) -> RetailTables:
+    """Read ``folder/<table>.<format>`` for each of the four tables.
+
+    With contracts the readers get the declared columns and no file is opened
+    before a report runs; ``contract.stored_drift`` tells whether the files agree.
+    """
+
+    def read(name: str) -> DataFrame:
+        reader = spark.read.format(file_format)
+        if contracts:
+            reader = reader.schema(contracts[name].schema)
+        return reader.load(f"{folder}/{name}.{file_format}")
+
+    return RetailTables(**{name: read(name) for name in TABLE_NAMES})
 
 
 def load_tables(spark: SparkSession, database: str) -> RetailTables:
