@@ -21,8 +21,8 @@ Texts are cut into pieces by the pattern of the vocabulary. Which characters are
 letters, digits and white space is asked of the library that defines the result,
 as the pattern engine used here may know another version of Unicode.
 
-Pieces, pairs and short strings are kept in tables of bounded size; a full table
-is emptied, which changes no result. Defined results: null text is empty text and has no
+Pieces, pairs and short strings are kept in tables of bounded size. A full table
+is emptied, that of pieces after it was full twice, which changes no result. Defined results: null text is empty text and has no
 tokens; empty tables give empty tables; rows are encoded one by one, so repeated
 rows and ids do not matter; extra columns pass through unless they have the name
 of a result. A text of any length is encoded in one row, its pieces one after
@@ -46,10 +46,11 @@ from orderlens.llm.arrow import with_results
 # Entries that a table of pieces or pairs may hold, and the longest piece kept.
 TABLE_ENTRIES = 400_000
 KEPT_CHARS = 64
-# Bytes that are merged without being halved, and the longest strings of which
-# the merged tokens are kept: leaves and windows are few and come again.
+# Bytes that are merged without being halved, and the longest windows and halves
+# of which the tokens are kept: short ones are few and come again.
 LEAF_BYTES = 4
 KEPT_BYTES = 12
+KEPT_HALF = 8
 # Tokens whose bytes are concatenated at once.
 LEAF_TOKENS = 1 << 12
 
@@ -85,7 +86,7 @@ def classes_that_differ() -> dict[int, str]:
     }
 
 
-def _ranges(points: Iterable[int]) -> str:
+def ranges(points: Iterable[int]) -> str:
     """A character set of these code points."""
     out: list[list[int]] = []
     for point in sorted(points):
@@ -105,7 +106,7 @@ class Pieces:
         # Most texts have no character beyond the first differing one, which is found faster.
         least = min(self.differing, default=0x10FFFF)
         self.beyond = re.compile(f"[\\U{least:08x}-\\U0010ffff]")
-        self.odd = regex.compile(_ranges(self.differing or [0x10FFFF]))
+        self.odd = regex.compile(ranges(self.differing or [0x10FFFF]))
 
     def cut(self, text: str) -> list[str]:
         if not self.beyond.search(text) or not self.odd.search(text):
@@ -134,11 +135,14 @@ class TreeEncoder:
         if ids is None:
             ids = self._merge(raw)
             if len(raw) <= KEPT_BYTES:
-                if len(self.merged) >= TABLE_ENTRIES:
-                    self.merged.clear()
-                self.merged[raw] = ids
+                self._keep(raw, ids)
         return ids
 
+    def _keep(self, raw: bytes, ids: list[int]) -> None:
+        if len(self.merged) >= TABLE_ENTRIES:
+            self.merged.clear()
+        self.merged[raw] = ids
+
     def _merge(self, raw: bytes) -> list[int]:
         rank = self.ranks.get
         n = len(raw)
@@ -202,8 +206,13 @@ class TreeEncoder:
         """Tokens of a byte string by halves."""
         if len(raw) <= LEAF_BYTES:
             return self.merge(raw)
-        half = len(raw) // 2
-        return self.join(self.encode(raw[:half]), self.encode(raw[half:]))
+        ids = self.merged.get(raw)
+        if ids is None:
+            half = len(raw) // 2
+            ids = self.join(self.encode(raw[:half]), self.encode(raw[half:]))
+            if len(raw) <= KEPT_HALF:
+                self._keep(raw, ids)
+        return ids
 
     def decode(self, ids: list[int] | np.ndarray) -> bytes:
         """The bytes of the tokens, concatenated up a tree."""
@@ -220,6 +229,8 @@ class Tokenizer:
         self.tree = TreeEncoder(read_ranks(path))
         self.pieces = Pieces(pattern)
         self.known: dict[str, list[int]] = {}
+        #: The table before it was full; pieces that come again move over.
+        self.older: dict[str, list[int]] = {}
 
     def _piece(self, piece: str) -> list[int]:
         raw = piece.encode()
@@ -228,13 +239,14 @@ class Tokenizer:
         return [whole] if whole is not None else self.tree.encode(raw)
 
     def encode(self, text: str) -> np.ndarray:
-        known, pieces = self.known, self.pieces.cut(text)
-        new = set(pieces).difference(known)
-        if len(known) + len(new) > TABLE_ENTRIES:
-            known.clear()
+        pieces = self.pieces.cut(text)
+        new = set(pieces).difference(self.known)
+        if len(self.known) + len(new) > TABLE_ENTRIES:
+            self.older, self.known = self.known, {}
             new = set(pieces)
+        known = self.known
         for piece in new:
-            known[piece] = self._piece(piece)
+            known[piece] = self.older.get(piece) or self._piece(piece)
         ids = list(chain.from_iterable(map(known.__getitem__, pieces)))
         for piece in new:
             if len(piece) > KEPT_CHARS:
