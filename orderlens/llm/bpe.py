@@ -12,15 +12,23 @@ in a table.
 Decoding and writing ids as decimals gather slices of one byte string through a
 table of offsets.
 
+Normalising and cutting into words is done as the file says. Where a text has a
+character that the library, which defines the result, may normalise or classify
+otherwise than the engines used here, because it knows another version of
+Unicode, the library normalises and cuts it. A file with other rules is refused.
+
 Words and pairs are kept in tables of bounded size; a full table is emptied,
 which changes no result. Defined results: null text is empty text with no
-tokens; other columns pass through; rows are encoded one by one.
+tokens; empty tables give empty tables; repeated rows are encoded alike; a text
+of any length is encoded in its row; other columns pass through.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -30,6 +38,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from orderlens.llm.arrow import by_rows
+from orderlens.llm.tree_bpe import ranges
 
 # Entries that a table of words or pairs may hold.
 TABLE_ENTRIES = 400_000
@@ -200,12 +209,86 @@ class WordEncoder:
         return ids
 
 
+# How the file has to normalise and cut texts.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+CUT = {"type": "Split", "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+PLAIN = ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")
+SPECIAL_START = "<|"
+
+
+def check_rules(spec: dict) -> None:
+    """Refuse a file whose rules this module does not follow."""
+    cut, as_bytes = spec["pre_tokenizer"].get("pretokenizers", [{}, {}])
+    added = spec["added_tokens"]
+    rules = {
+        "normaliser": spec["normalizer"] == NORMALIZER,
+        "word splitting": CUT.items() <= cut.items() and BYTES.items() <= as_bytes.items(),
+        "model": spec["model"]["type"] == "BPE" and not any(spec["model"].get(k) for k in PLAIN),
+        "special tokens": all(
+            t["content"].startswith(SPECIAL_START)
+            and not any(t[k] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+            for t in added
+        ),
+    }
+    wrong = [name for name, right in rules.items() if not right]
+    if wrong:
+        raise ValueError(f"the file has another {', '.join(wrong)}")
+
+
+def _normal(text: str) -> str:
+    """Composed and lower-cased character by character."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
+@functools.cache
+def odd_characters() -> tuple[int, ...]:
+    """Characters that the library normalises or classifies otherwise than this module."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    # The pattern engine knows the newest characters of all; what it does not know,
+    # none of the others changes.
+    every = map(chr, [*range(0xD800), *range(0xE000, 0x110000)])
+    known = "".join(regex.findall(r"[^\p{Cn}\p{Co}]", "".join(every)))
+    odd: set[str] = set()
+    for pattern in (r"\p{L}+", r"\p{N}+", r"\s+"):
+        cut = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        theirs = set("".join(part for part, _ in cut.pre_tokenize_str(known)))
+        odd |= theirs.symmetric_difference("".join(regex.findall(pattern, known)))
+    lines = known.replace("\n", "")
+    # Also beside marks that are put in order with it.
+    beside = (("", ""), ("a", "\u0323"), ("a\u0301", ""))
+    texts = ["\n".join(a + c + z for c in lines) for a, z in beside]
+    compared = [
+        (unicodedata.normalize("NFC", t), normalizers.NFC().normalize_str(t)) for t in texts
+    ]
+    lowered = texts[0].replace("Σ", "σ").lower()
+    compared.append((lowered, normalizers.Lowercase().normalize_str(texts[0])))
+    for own, theirs in compared:
+        pairs = zip(lines, own.split("\n"), theirs.split("\n"))
+        odd |= {c for c, one, other in pairs if one != other}
+    return tuple(sorted(map(ord, odd)))
+
+
 class Tokenizer:
     """A lower-casing byte-level tokenizer with word ends, read from its file."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, odd: tuple[int, ...] | None = None) -> None:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        check_rules(spec)
+        self.path, self.library = path, None
+        odd = odd_characters() if odd is None else odd
+        # Most texts have no character beyond the first odd one, which is found faster.
+        self.beyond = re.compile(f"[\\U{min(odd, default=0x10FFFF):08x}-\\U0010ffff]")
+        self.odd = regex.compile(ranges(odd or [0x10FFFF]))
         model = spec["model"]
         self.words = WordEncoder(model["vocab"], model["merges"], model["end_of_word_suffix"] or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -229,19 +312,27 @@ class Tokenizer:
             self.known[word] = ids
         return ids
 
-    @staticmethod
-    def normal(text: str) -> str:
-        """Composed and lower-cased character by character."""
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    def _cut_by_library(self, part: str) -> list[str]:
+        """The words of a text in byte characters."""
+        if self.library is None:
+            from tokenizers import Tokenizer as Library
+
+            self.library = Library.from_file(self.path)
+        normal = self.library.normalizer.normalize_str(part)
+        return [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
     def encode(self, text: str) -> np.ndarray:
         ids: list[int] = []
         known, special = self.known, self.special
-        for part in self.split.split(text) if "<|" in text else [text]:
+        for part in self.split.split(text) if SPECIAL_START in text else [text]:
             if part in special:
                 ids.append(special[part])
                 continue
-            for word in self.find(self.normal(part)):
+            if self.beyond.search(part) and self.odd.search(part):
+                for word in self._cut_by_library(part):
+                    ids += self.words.encode(word)
+                continue
+            for word in self.find(_normal(part)):
                 found = known.get(word)
                 ids += found if found is not None else self._word(word)
         return np.array(ids, np.int64)
@@ -258,11 +349,11 @@ class Tokenizer:
 _LOADED: dict[str, Tokenizer] = {}
 
 
-def load(path: str) -> Tokenizer:
+def load(path: str, odd: tuple[int, ...] | None = None) -> Tokenizer:
     """The tokenizer of a file, read once per worker."""
     if path not in _LOADED:
         _LOADED.clear()
-        _LOADED[path] = Tokenizer(path)
+        _LOADED[path] = Tokenizer(path, odd)
     return _LOADED[path]
 
 
@@ -284,9 +375,10 @@ def encode(
     names = {f.name.lower() for f in added.fields}
     kept = [f for f in docs.schema.fields if f.name.lower() not in names]
     whole = StructType([*kept, *added.fields])
+    odd = odd_characters()
 
     def make():
-        tokenizer = load(path)
+        tokenizer = load(path, odd)
 
         def work(rows: Iterator[dict]) -> Iterator[dict]:
             for row in rows:
@@ -328,8 +420,10 @@ def token_texts(docs: DataFrame, path: str, ids: str = "ids", name: str = "decod
     kept = [f for f in docs.schema.fields if f.name.lower() != name.lower()]
     whole = StructType([*kept, StructField(name, StringType())])
 
+    odd = odd_characters()
+
     def make():
-        tokenizer = load(path)
+        tokenizer = load(path, odd)
 
         def work(rows: Iterator[dict]) -> Iterator[dict]:
             for row in rows:
