@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,9 +75,9 @@ def size_shuffles(
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a fresh scratch folder; a cluster
-    session without it is an error, because a machine-local folder would lose
-    data with its executor.
+    Where that is unset, a local session uses its warehouse folder. A cluster
+    session without it is an error: a machine-local folder would lose data with
+    its executor.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
@@ -84,9 +85,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="orderlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir")
 
 
 def _stored(spark: SparkSession) -> str:
@@ -94,9 +93,46 @@ def _stored(spark: SparkSession) -> str:
     return f"{folder}/orderlens/{spark.sparkContext.applicationId}"
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+# The folders made inside each open scope, the innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Own the tables stored inside the block and remove them at its end, also after an error.
+
+    Frames that read them must have been used, or written elsewhere, by then.
+    Scopes may be nested; each removes what was stored in it alone.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for folder in _SCOPES.pop():
+            _remove(spark, folder)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder beside the stored tables, removed with them."""
-    return f"{_stored(spark)}/{label}-{uuid.uuid4().hex}"
+    """The name of a new folder beside the stored tables, removed with them."""
+    folder = f"{_stored(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
+    return folder
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove a stored table that no frame reads any more."""
+    spark = stored.sparkSession
+    own = _stored(spark).removeprefix("file:")
+    folders = {file.rsplit("/", 1)[0] for file in stored.inputFiles()}
+    for folder in folders:
+        if own in folder:
+            _remove(spark, folder)
 
 
 def release(spark: SparkSession) -> None:
@@ -104,8 +140,7 @@ def release(spark: SparkSession) -> None:
 
     Call it when no frame that reads them is needed any more.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(_stored(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, _stored(spark))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -116,6 +151,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     column pruning and gives the optimizer true sizes.
     """
     spark = df.sparkSession
-    path = f"{_stored(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -121,6 +121,77 @@ def test_stored_tables_are_released(spark):
     assert not folder.exists()
 
 
+def stored_folders(spark):
+    from pathlib import Path
+
+    from orderlens import session
+
+    folder = Path(session._stored(spark).removeprefix("file:"))
+    return {p.name.rsplit("-", 1)[0] for p in folder.iterdir()} if folder.exists() else set()
+
+
+def test_a_scope_removes_what_was_stored_in_it(spark):
+    from orderlens import session
+
+    session.release(spark)
+    kept = materialize(spark.range(2), "outside")
+    with session.scope(spark):
+        outer = materialize(spark.range(3), "outer")
+        with session.scope(spark):
+            inner = materialize(spark.range(4), "inner")
+            assert inner.count() == 4
+        assert stored_folders(spark) == {"outside", "outer"}
+        with pytest.raises(ZeroDivisionError):
+            with session.scope(spark):
+                materialize(spark.range(5), "broken")
+                spark.range(1).write.parquet(session.scratch(spark, "folder"))
+                1 / 0
+        assert stored_folders(spark) == {"outside", "outer"}
+        assert outer.count() == 3
+    assert stored_folders(spark) == {"outside"} and kept.count() == 2
+    session.discard(kept)
+    assert stored_folders(spark) == set()
+
+
+def test_discard_leaves_other_tables_alone(spark, tmp_path):
+    from orderlens import session
+
+    spark.range(3).write.parquet(f"{tmp_path}/own")
+    session.discard(spark.read.parquet(f"{tmp_path}/own"))
+    assert spark.read.parquet(f"{tmp_path}/own").count() == 3
+
+
+class Local(Cluster):
+    """A local session without the setting."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return {"spark.sql.warehouse.dir": "file:/warehouse"}.get(key, default)
+
+    class sparkContext(Cluster.sparkContext):
+        master = "local[3]"
+
+
+def test_a_local_session_stores_in_its_warehouse():
+    assert shared_folder(Local()) == "file:/warehouse"
+
+
+@pytest.mark.parametrize(
+    "name", ["validate_all", "validate_deployed", "snapshot_drift", "drift_location",
+             "refreshed_revenue", "product_reconcile"]
+)
+def test_nothing_is_left_after_a_query_and_its_release(spark, name):
+    import __spark_entry__ as registry
+    from orderlens import session
+
+    session.release(spark)
+    with session.scope(spark):
+        registry.queries()[name](spark, SMALL).collect()
+        assert stored_folders(spark)
+    assert stored_folders(spark) == set()
+
+
 def test_views_follow_their_source(spark, tmp_path):
     """Building views runs no job, and a view sees rows that are added later."""
     from orderlens.plans import views
@@ -135,9 +206,15 @@ def test_views_follow_their_source(spark, tmp_path):
     views.build_views(tables, TEST_AS_OF)
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
     spark.sparkContext.setJobGroup("rest", "rest")
-    performance = views.product_performance(tables.order_items, tables.products, TEST_AS_OF)
-    before = performance.agg({"completed_items": "sum"}).first()[0]
-    small.order_items.write.mode("append").parquet(f"{tmp_path}/order_items.parquet")
-    again = load_files(spark, str(tmp_path))
-    performance = views.product_performance(again.order_items, again.products, TEST_AS_OF)
-    assert performance.agg({"completed_items": "sum"}).first()[0] == 2 * before
+    publish.register_views(
+        {"performance": views.product_performance(tables.order_items, tables.products, TEST_AS_OF)}
+    )
+    try:
+        items = "SELECT sum(completed_items) AS n FROM performance"
+        before = spark.sql(items).first()["n"]
+        small.order_items.write.mode("append").parquet(f"{tmp_path}/order_items.parquet")
+        spark.catalog.refreshTable("performance")
+        # The view that was registered before sees the rows.
+        assert spark.sql(items).first()["n"] == 2 * before
+    finally:
+        spark.catalog.dropTempView("performance")
