@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import bpe, decontaminate, line_dedup, minhash, quality_rules
-from orderlens.session import shared_folder
+from orderlens.session import scratch
 
 # Per cent of common five-word shingles from which documents are near duplicates.
 SIMILARITY = 80
@@ -65,7 +63,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages one after another, each to the stored result of the one before."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch(spark, "pipeline")
     for number, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if number + 1 == len(STAGES):
