@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -107,3 +108,34 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.scan(documents(spark, []), bench(spark, ITEMS)).count() == 0
     assert decontaminate.scan(documents(spark), none).filter("n_hit > 0").count() == 0
+
+
+def test_blocks_of_a_larger_benchmark(spark):
+    """Items in many blocks; each automaton stays small, and hits of all blocks count."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(5, 60)))) for i in range(400)]
+    texts = []
+    for i in range(60):
+        parts = [rng.choice(words) for _ in range(rng.randrange(20, 200))]
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(parts))
+            parts[at:at] = rng.choice(items)[1].split()
+        texts.append((i, " ".join(parts)))
+    scanned = decontaminate.scan(
+        documents(spark, texts), bench(spark, items), block_bytes=20_000
+    ).selectExpr("*", "array_join(items, ',') AS found")
+    assert rows(scanned, *COLUMNS) == expected(texts, items)
+
+
+def test_an_automaton_is_built_once_per_worker(monkeypatch):
+    built = []
+    monkeypatch.setattr(decontaminate, "Scanner", lambda *a: built.append(a) or object())
+    monkeypatch.setattr(decontaminate, "_BUILT", {})
+
+    class Sent:
+        value = [("1", "a b")]
+
+    one = decontaminate._scanner("x", Sent, 13)
+    assert decontaminate._scanner("x", Sent, 13) is one and len(built) == 1
+    assert decontaminate._scanner("y", Sent, 13) is not one and len(decontaminate._BUILT) == 1
