@@ -16,8 +16,10 @@ with their code. Every document is scored over all of its passages.
 Defined results: a null or empty text is a bag of one empty passage and gets a
 score like any other; labels other than 0 and 1 are left out; several labels of
 one document count by their mean, rounded; with labels of one kind only, or
-none, every score is the share of label 1, or one half. Repeated rows get equal
-scores.
+none, every score is the share of label 1, or one half. An id with several texts
+is learned from the least of them; repeated rows get equal scores. An empty table
+has no scores; a text of any length is scored over all its passages, which one
+task holds; other columns are not read.
 """
 
 from __future__ import annotations
@@ -234,8 +236,11 @@ def train(
         .limit(sample)
     )
     rows = docs.select(F.col(f"`{key}`").alias("id"), text_or_empty(text).alias("text"))
-    # The sample is bounded, so it is sent to the scan of the documents.
-    found = rows.join(F.broadcast(chosen), "id")
+    # The sample is bounded, so it is sent to the scan of the documents. An id may
+    # have any number of rows; one text stands for it.
+    found = (
+        rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    )
 
     def make():
         def work(found: Iterator[dict]) -> Iterator[dict]:
@@ -252,7 +257,7 @@ def train(
 
     schema = "id string, label int, passages binary"
     collected = by_rows(found.select("id", "text", "label"), make, schema).toPandas()
-    collected = collected.sort_values(["id", "passages"]).head(sample)
+    collected = collected.sort_values("id")
     bags = [np.frombuffer(p, np.float32).reshape(-1, FEATURES) for p in collected["passages"]]
     return fit(bags, [int(x) for x in collected["label"]])
 

@@ -78,3 +78,53 @@ def test_gradients():
             values.append(loss())
         model.weights[name][place] = kept
         assert abs((values[0] - values[1]) / 2e-5 - gradient[place]) < 1e-6
+
+
+def test_an_id_with_many_rows_is_one_document(spark):
+    """The fitted sample is the same as without the repeated rows."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").filter(~mil.held_out(mil.F.col("doc_id")))
+    least = labels.orderBy("doc_id").limit(1)
+    copies = docs.join(least, "doc_id", "left_semi").crossJoin(spark.range(4000)).select(docs.columns)
+    a = mil.train(docs, labels, sample=60)
+    b = mil.train(docs.unionByName(copies), labels, sample=60)
+    assert all(np.array_equal(a.weights[k], b.weights[k]) for k in a.weights)
+    scores = {r.score for r in mil.score(docs, b).collect()}
+    assert len(scores) > 100
+
+
+def test_an_id_with_several_texts(spark):
+    texts = [(1, "b words " * 30), (1, "a words " * 30), (2, "c d e f"), (3, None), (3, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    kept = spark.createDataFrame([texts[1], texts[2], (3, "")], docs.schema)
+    a, b = mil.train(docs, labels), mil.train(kept, labels)
+    assert all(np.array_equal(a.weights[k], b.weights[k]) for k in a.weights)
+
+
+def test_scores_by_definition(texts):
+    """Every passage by plain loops: representation, gated attention, weighted sum, score."""
+    from math import exp, tanh
+
+    labelled = [(t, i % 2) for i, t in texts[:40]]
+    model = mil.fit([mil.passages(t) for t, _ in labelled], [y for _, y in labelled])
+    w = {k: v.tolist() for k, v in model.weights.items()}
+
+    def dot(vector, matrix, column):
+        return sum(v * row[column] for v, row in zip(vector, matrix))
+
+    for text in [None, "", "one two", LONG[:20_000], *(t for _, t in texts[40:60])]:
+        hidden, energy = [], []
+        for features in mil.passages(text).tolist():
+            x = [(f - m) / s for f, m, s in zip(features, model.mean, model.scale)]
+            h = [tanh(dot(x, w["W"], j) + w["b"][j]) for j in range(mil.HIDDEN)]
+            said = [tanh(dot(h, w["V"], j)) for j in range(mil.ATTENTION)]
+            gate = [1 / (1 + exp(-dot(h, w["U"], j))) for j in range(mil.ATTENTION)]
+            hidden.append(h)
+            energy.append(exp(sum(s * g * a for s, g, a in zip(said, gate, w["a"]))))
+        attention = [e / sum(energy) for e in energy]
+        pooled = [sum(a * h[j] for a, h in zip(attention, hidden)) for j in range(mil.HIDDEN)]
+        expected = 1 / (1 + exp(-(sum(p * c for p, c in zip(pooled, w["c"])) + w["d"][0])))
+        score, weights = model.score(mil.passages(text))
+        assert abs(score - expected) < 1e-6
+        assert np.allclose(weights, attention, atol=1e-6)
