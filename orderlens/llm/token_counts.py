@@ -1,111 +1,140 @@
-"""Token counts; huge documents are encoded in overlapping chunks and spliced.
-
-Documents up to ``CHUNK`` characters are counted as they are. A document beyond
-``CHUNK`` characters is never encoded whole. Each chunk
-overlaps the one before. Where both split the text before the same character
-into pre-tokens, the count goes over from one chunk to the next. That place is
-proven stable: the pattern that splits the text runs from left to right and
-looks one character ahead, so a split that the earlier chunk made, far enough
-before its end, is a split of the whole text, and from a split on that both
-share, the later chunk goes on as the whole text does. A special token has no
-split inside; the distance to the chunk's end is at least the longest special
-token. If the overlap has no common split, it is doubled, and the earlier chunk
-is extended where the overlap has used it up.
+"""Token counts by overlapping chunks that are spliced.
+
+A text is never encoded whole if it has more than ``CHUNK`` characters: it is
+encoded in chunks with offsets, each of which overlaps the one before. Where both
+split the text before the same character into pre-tokens, the count goes over
+from one chunk to the next. That place is proven stable: the pattern that splits
+the text runs from left to right and looks one character ahead, so a split that
+the earlier chunk made, far enough before its end, is a split of the whole text,
+and from a split on that both share, the later chunk goes on as the whole text
+does. A special token has no split inside; the distance to the chunk's end is at
+least the longest special token. If the overlap has no common split, it is
+doubled, and the earlier chunk is extended where the overlap has used it up.
+
+All texts go the same way; one of a single chunk has nothing to splice. Chunks of
+several texts are handed to the library together. On the generated documents
+about four in ten are spliced.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens. A text without
-any split, such as one endless word, is encoded whole in the end.
+any split, such as one endless word, is encoded whole in the end. A text of any
+length is counted in its row, some hundred chunks at a time. Repeated rows and
+ids are counted one by one; an empty table gives an empty table; columns other
+than key and text are not read, and may have any names.
 """
 
 from __future__ import annotations
 
-import json
 import os
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 from pyspark.sql import DataFrame
 
-from orderlens.llm.arrow import by_rows, sliced
-from orderlens.llm.bpe import byte_characters
+from orderlens.llm.arrow import SLICE_CHARS, by_rows, sliced
 
-# Fixed value: how byte-level vocabularies split a text.
-PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
-
-CHUNK = 1 << 15
-OVERLAP = 1 << 9
+CHUNK = 2048
+OVERLAP = 128
 LIMIT = 1024
+# Chunks that are handed to the library together.
+TOGETHER = 256
+
+
+def planned(size: int, chunk: int, overlap: int, first: int = 0) -> Iterator[tuple[int, int]]:
+    """First and stop of the chunks of a text from ``first`` on if every overlap suffices."""
+    while True:
+        stop = min(first + chunk, size)
+        yield first, stop
+        if stop == size:
+            return
+        first = stop - overlap
 
 
 class Chunk:
     """An encoded part of a text: its tokens and where pre-tokens start."""
 
-    def __init__(self, encode: Callable, text: str, first: int, stop: int) -> None:
-        coded = encode(text[first:stop])
-        self.first, self.stop = first, stop
-        self.tokens = len(coded.ids)
-        words, offsets = coded.word_ids, coded.offsets
-        #: Place in the text of each pre-token but the first, and its token.
-        self.splits = {
-            first + offsets[i][0]: i for i in range(1, self.tokens) if words[i] != words[i - 1]
+    def __init__(self, coded, first: int, stop: int) -> None:
+        self.coded, self.first, self.stop = coded, first, stop
+        self.tokens = len(coded)
+
+    def splits(self, low: int, high: int) -> dict[int, int]:
+        """Places in the text from ``low`` to ``high`` before which a pre-token but the
+        first starts, and the number of its first token."""
+        words, offsets = self.coded.word_ids, self.coded.offsets
+
+        def start(offset: tuple[int, int]) -> int:
+            return offset[0]
+
+        near = bisect_left(offsets, low - self.first, key=start)
+        far = bisect_right(offsets, high - self.first, key=start)
+        return {
+            self.first + offsets[i][0]: i
+            for i in range(max(near, 1), far)
+            if words[i] != words[i - 1]
         }
 
 
 def spliced_count(
-    text: str, encode: Callable, margin: int, chunk: int = CHUNK, overlap: int = OVERLAP
+    size: int,
+    encode: Callable[[int, int], object],
+    margin: int,
+    chunk: int = CHUNK,
+    overlap: int = OVERLAP,
 ) -> int:
-    """Tokens of a text by overlapping chunks.
+    """Tokens of a text of ``size`` characters, which ``encode`` encodes from place to place.
 
     ``margin``: a split so close to a chunk's end is not trusted.
     """
-    here = Chunk(encode, text, 0, min(chunk, len(text)))
+
+    def part(first: int, stop: int) -> Chunk:
+        return Chunk(encode(first, stop), first, stop)
+
+    here = part(0, min(chunk, size))
     counted = skipped = 0
     width = overlap
-    while here.stop < len(text):
+    while here.stop < size:
         first = max(here.stop - width, here.first + 1)
-        there = Chunk(encode, text, first, min(first + max(chunk, 2 * width), len(text)))
-        common = [
-            place
-            for place in here.splits.keys() & there.splits.keys()
-            if place + margin <= here.stop and here.splits[place] >= skipped
-        ]
+        there = part(first, min(first + max(chunk, 2 * width), size))
+        trusted = here.stop - margin
+        before = here.splits(first, trusted)
+        after = there.splits(first, trusted)
+        common = [p for p in before.keys() & after.keys() if before[p] >= skipped]
         if common:
             place = min(common)
-            counted += here.splits[place] - skipped
-            here, skipped, width = there, there.splits[place], overlap
+            counted += before[place] - skipped
+            here, skipped, width = there, after[place], overlap
         elif first == here.first + 1:
-            stop = min(here.stop + max(chunk, here.stop - here.first), len(text))
-            here = Chunk(encode, text, here.first, stop)
+            here = part(here.first, min(here.stop + max(chunk, here.stop - here.first), size))
             width = overlap
         else:
             width *= 2
     return counted + here.tokens - skipped
 
 
-def _ranked(path: str):
-    """The same vocabulary for the library that counts without offsets.
-
-    Its merges are those of the file if ids and merges have one order, which is
-    checked here.
-    """
-    import tiktoken
-
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
-    model = spec["model"]
-    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    back = {c: b for b, c in byte_characters().items()}
-    ranks = {
-        bytes(back[c] for c in token): number
-        for token, number in model["vocab"].items()
-        if token not in special
-    }
-    made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-    if made != list(range(256, 256 + len(made))) or len(ranks) != 256 + len(made):
-        raise ValueError("ids of the vocabulary do not follow its merges")
-    return tiktoken.Encoding(
-        "from-file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special
-    )
+class Encodings:
+    """Encodes the chunks of one text, the next ones together."""
+
+    def __init__(
+        self, text: str, counter: Counter, ready: dict[tuple[int, int], object], ahead: int
+    ) -> None:
+        self.text, self.counter, self.ready, self.ahead = text, counter, ready, ahead
+
+    def __call__(self, first: int, stop: int):
+        coded = self.ready.pop((first, stop), None)
+        if coded is None:
+            # Chunks left over were made for other places: an overlap was widened.
+            self.ahead = 1 if self.ready else min(4 * self.ahead, TOGETHER)
+            places = [(first, stop)]
+            if stop < len(self.text):
+                after = planned(
+                    len(self.text), self.counter.chunk, self.counter.overlap,
+                    stop - self.counter.overlap,
+                )
+                places += islice(after, self.ahead - 1)
+            made = self.counter.encode([self.text[a:z] for a, z in places])
+            self.ready = dict(zip(places, made))
+            coded = self.ready.pop((first, stop))
+        return coded
 
 
 class Counter:
@@ -115,24 +144,35 @@ class Counter:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        if 2 * overlap > chunk:
+            raise ValueError("a chunk must be longer than two overlaps")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         added = self.tokenizer.get_added_tokens_decoder()
         self.margin = max([2, *(len(t.content) + 1 for t in added.values())])
         self.chunk, self.overlap = chunk, overlap
-        self.short = _ranked(path)
 
-    def encode(self, text: str):
-        return self.tokenizer.encode(text, add_special_tokens=False)
+    def encode(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch(texts, add_special_tokens=False)
 
     def count(self, texts: list[str]) -> list[int]:
-        return [
-            len(self.short.encode(t, allowed_special="all"))
-            if len(t) <= self.chunk
-            else spliced_count(t, self.encode, self.margin, self.chunk, self.overlap)
+        """The tokens of each text."""
+        # The chunks of short texts are encoded together, those of a long one as needed.
+        plans = [
+            list(planned(len(t), self.chunk, self.overlap)) if len(t) <= SLICE_CHARS else []
             for t in texts
         ]
+        parts = [t[a:z] for t, places in zip(texts, plans) for a, z in places]
+        coded = chain.from_iterable(
+            self.encode(parts[at : at + TOGETHER]) for at in range(0, len(parts), TOGETHER)
+        )
+        out = []
+        for text, places in zip(texts, plans):
+            ready = dict(zip(places, islice(coded, len(places))))
+            encode = Encodings(text, self, ready, 1 if places else TOGETHER)
+            out.append(spliced_count(len(text), encode, self.margin, self.chunk, self.overlap))
+        return out
 
 
 def count(

@@ -50,6 +50,7 @@ def test_random_texts(library):
 
 
 def test_every_character(library):
+    """Characters of any version of Unicode count as in the whole text."""
     counter = token_counts.Counter(PATH)
     characters = [
         chr(c)
@@ -57,13 +58,39 @@ def test_every_character(library):
         if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co")
     ]
     parts = [
-        "".join(f"a{c}b {c}1 {c}" for c in characters[i : i + 100])
-        for i in range(0, len(characters), 100)
+        "".join(f"a{c}b {c}1 {c}" for c in characters[i : i + 500])
+        for i in range(0, len(characters), 500)
     ]
-    different = [
-        p for p, n in zip(parts, counter.count(parts)) if n != counted(library, p)
-    ]
-    assert len(different) <= 3
+    assert counter.count(parts) == [counted(library, p) for p in parts]
+
+
+def test_long_texts_are_encoded_some_chunks_at_a_time(library, monkeypatch):
+    monkeypatch.setattr(token_counts, "SLICE_CHARS", 1000)
+    monkeypatch.setattr(token_counts, "TOGETHER", 7)
+    counter = token_counts.Counter(PATH, 60, 20)
+    encode, sizes = counter.encode, []
+    counter.encode = lambda texts: sizes.append(len(texts)) or encode(texts)
+    assert counter.count(LONG) == [counted(library, t) for t in LONG]
+    assert max(sizes) == 7
+
+
+def test_many_documents_are_spliced(texts):
+    """Every text goes through the chunks; on the generated ones many have several."""
+    whole = [t or "" for _, t in texts]
+    counter = token_counts.Counter(PATH)
+    encode, lengths = counter.encode, []
+    counter.encode = lambda parts: lengths.extend(map(len, parts)) or encode(parts)
+    counter.count(whole)
+    assert max(lengths) <= token_counts.CHUNK
+    # Hardly any chunk is encoded a second time for a wider overlap.
+    plans = [list(token_counts.planned(len(t), counter.chunk, counter.overlap)) for t in whole]
+    assert len(lengths) <= 1.05 * sum(map(len, plans))
+    assert sum(len(p) > 1 for p in plans) >= 0.1 * len(whole)
+
+
+def test_chunks_shorter_than_overlaps_are_refused():
+    with pytest.raises(ValueError, match="two overlaps"):
+        token_counts.Counter(PATH, 10, 6)
 
 
 def test_frame(spark, library):
