@@ -29,6 +29,7 @@ from orderlens.functions.numbers import (
 )
 from orderlens.operators.calendar import months
 from orderlens.operators.durations import SECONDS_PER_DAY, event_pairs
+from orderlens.operators.ranges import points_in_intervals
 from orderlens.operators.rows import eligible_orders, one_row, recognized_items, with_copies
 
 
@@ -217,38 +218,27 @@ def growth_arithmetic_check(growth: DataFrame) -> DataFrame:
 
 
 def rolling_window_check(growth: DataFrame) -> DataFrame:
-    """Rolling figures rebuilt by joining each month with its 12 last months.
+    """Rolling figures rebuilt from the months in the window of each month.
 
-    A month is offered to itself and to the 11 months after it, which turns
-    the range condition into an equality on the month.
+    A window is an interval of months, joined with the months it holds.
     """
-    offsets = F.sequence(F.lit(0), F.lit(11))
-    history = growth.select(
-        F.col("recognized_revenue").alias("past_revenue"),
-        "revenue_month",
-        F.explode(offsets).alias("months_ago"),
-    ).select(
-        F.add_months("revenue_month", F.col("months_ago")).alias("for_month"),
-        "months_ago",
-        "past_revenue",
-    )
     spans = (3, 12)
-    current = growth.select("revenue_month")
-    rebuilt = (
-        current.join(history, F.col("revenue_month") == F.col("for_month"), "left")
-        .groupBy(F.col("revenue_month").alias("rebuilt_month"))
-        .agg(
-            *[
-                count_if(F.col("months_ago") < n).alias(f"months_{n}")
-                for n in spans
-            ],
-            *[
-                round2(F.sum(F.when(F.col("months_ago") < n, F.col("past_revenue")))).alias(
-                    f"revenue_{n}"
-                )
-                for n in spans
-            ],
-        )
+    number = F.year("revenue_month") * 12 + F.month("revenue_month")
+    months = growth.select(
+        number.alias("past_month"), F.col("recognized_revenue").alias("past_revenue")
+    )
+    windows = growth.select(
+        F.col("revenue_month").alias("rebuilt_month"),
+        number.alias("last_month"),
+        F.explode(F.array(*[F.lit(n) for n in spans])).alias("span"),
+    ).withColumn("first_month", F.col("last_month") - F.col("span") + 1)
+    held = points_in_intervals(months, windows, "past_month", "first_month", "last_month")
+    rebuilt = held.groupBy("rebuilt_month").agg(
+        *[count_if(F.col("span") == n).alias(f"months_{n}") for n in spans],
+        *[
+            round2(F.sum(F.when(F.col("span") == n, F.col("past_revenue")))).alias(f"revenue_{n}")
+            for n in spans
+        ],
     )
     joined = growth.join(rebuilt, F.col("revenue_month") == F.col("rebuilt_month"))
     checks = []
