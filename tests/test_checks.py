@@ -125,8 +125,14 @@ CASES = [
      "products", {"product_view_matches_source", "category_mismatches"}),
     (PRODUCTS, partial(change, key="product_id", column="category_revenue_rank", value="0"),
      "products", {"invalid_ranks"}),
+    (PRODUCTS, partial(change, key="product_id", column="product_name", value="CAST(NULL AS STRING)"),
+     "products", {"missing_product_attributes"}),
+    (PRODUCTS, partial(change, key="product_id", column="category", value="CAST(NULL AS STRING)"),
+     "products", {"missing_product_attributes", "category_mismatches"}),
     (PRODUCTS, lambda df: df.unionByName(df.limit(1)),
      "products", {"one_row_per_product"}),
+    ("category_performance", partial(change, key="category", column="completed_items", value="0"),
+     "product_totals", {"category_mismatches", "categories_match_existing_view"}),
     (STATUS, partial(change, key="created_month", column="shipped_orders", value="shipped_orders + 1"),
      "order_status", {"status_count_mismatches", "open_count_mismatches"}),
     (STATUS, partial(change, key="created_month", column="current_returned_share_pct", value="NULL"),
@@ -172,6 +178,26 @@ def test_duplicate_items_fire(tables, built):
     assert result["monthly_view_matches_source"] is False
 
 
+def test_foundations_fire_on_repeated_and_unknown_orders(tables, built):
+    """Rules on the source: repeated orders, a status that is none of the five."""
+    odd = F.when(F.col("order_id") % 50 == 0, "Lost").otherwise(F.col("status"))
+    orders = tables.orders.unionByName(tables.orders.limit(3)).withColumn("status", odd)
+    changed = validation.RetailTables(orders, tables.order_items, tables.products, tables.users)
+    results = validation.run_checks(changed, built, DAY)
+
+    def failed(check):
+        rows = validation.verdicts(check, results[check]).filter("not passed").collect()
+        return {r["metric"] for r in rows}
+
+    assert failed("order_foundation") == {"one_row_per_order", "known_statuses_cover_all_orders"}
+    completed = tables.orders.filter("status = 'Returned'")
+    repeated = validation.RetailTables(
+        tables.orders.unionByName(completed), tables.order_items, tables.products, tables.users
+    )
+    results = validation.run_checks(repeated, built, DAY)
+    assert failed("duration_foundation") == {"one_row_per_candidate_order"}
+
+
 def test_cohort_start_shows_the_differing_view(tables, built):
     month = date(1995, 1, 1)
     monthly = change(built[MONTHLY], "revenue_month", "recognized_revenue", "0")
