@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.session import materialize
+from orderlens.session import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,6 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     stars = edges.filter("a <> b").select(
         F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")
     )
+    before = None
     while True:
         both = stars.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(
             stars.select(F.col("root").alias("x"), F.col("node").alias("y"))
@@ -35,6 +36,9 @@ def components(edges: DataFrame) -> DataFrame:
         stars = materialize(
             moved.unionByName(under.withColumnRenamed("least", "root")).distinct(), "stars"
         )
+        if before is not None:
+            discard(before)
+        before = stars
         if _settled(stars):
             return stars
 

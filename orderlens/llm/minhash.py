@@ -1,32 +1,47 @@
 """Near duplicates by min-hash signatures and a multi-index Hamming join.
 
 A document's set are its distinct five-word shingles. Documents with equal sets
-form a class, and only one row per class goes on. A signature has 40 min-hash
-components of 32 bits, cut into 10 chunks of 4. Two signatures that differ in at
-most 19 components agree in some chunk up to one component (pigeonhole), so every
-class is listed under 40 keys: each chunk with each of its components left out.
-Classes that share a key are candidates; all pairs within the distance share
-one. A pair of similarity 0.8 exceeds the distance with probability below 2e-5,
-one of 0.85 below 1e-6.
-
-Candidates are never expanded into all pairs. First every key links its members
-to one leader. Links are confirmed on the full sets, and components are built.
-After that only members of one key in different components are of interest.
-A shingle that no other set in question has cannot be common; a set with too many
-of them is linked with nothing and goes, and pairs that cannot reach the
-similarity are not made. A round takes some members of each key that are outside
-its largest component, compares them with the members of other components, and
-drops them: ``LEADERS`` at first, then ``GROWTH`` times as many in every round, so
-that a key of n members takes log n rounds. A key is done when what remains is
-one component, so no link that could change a component is lost.
+form a class, and only one row per class goes on. A signature has 42 min-hash
+components of 32 bits, cut into 7 chunks of 6. Two signatures that differ in at
+most 13 components agree in some chunk up to one component (pigeonhole), so every
+class is listed under 42 keys: each chunk with each of its components left out.
+Classes that share a key are candidates; all pairs within the distance of 13
+share one. Pairs beyond it that share a key are candidates as well, up to a
+distance of 18. A pair of similarity 0.85 shares no key with probability 3e-5,
+one of 0.8 with 6e-4, and unlike texts hardly ever do: a pair of 0.5 shares one
+key on average.
+
+First every key links its members to one leader. Links are confirmed on the full
+sets, and components are built. After that only members of one key in different
+components are of interest. A shingle that no other set in question has cannot
+be common; a set with too many of them is linked with nothing and goes.
+
+Members of a key of more than ``HOT`` are dealt further by an exact bound. The
+shingles of a set are ordered by how many sets have them, rarest first. Two sets
+of similarity t share one of the first n - ceil(t n) + 1 shingles, so the members
+of such keys meet under these shingles instead, with their places: what follows
+the place in the smaller rest must suffice for the similarity. A passage that
+many texts share is last in the order and brings none of them together.
+
+Then every member outside the largest component of its group is compared with
+one member of that component (``PROBES`` times, each time with another one); most
+members that belong to it are found so, for one pair each. After that a round
+takes some members of each group that are outside its largest component, compares
+them with the members of other components, and drops them: ``LEADERS`` at first,
+which is all of them in most groups, then ``GROWTH`` times as many in every round.
+A group is done when what remains is one component, so no link that could change
+a component is lost.
 
 Sets are compared in blocks of a leader's members, so a hot leader is many
-groups. All state between rounds is in stored tables.
+groups. All state between rounds is in stored tables, which are removed when the
+next round has written its own.
 
 Defined results: null and empty texts have no shingles, are linked with nothing
-and are kept. A text of fewer words than a shingle is one shingle. A row without
-id is linked with nothing, has no component and is kept. Rows that share an id
-are one document; texts under one id are linked. Extra columns are ignored.
+and are kept; an empty table gives an empty table. A text of fewer words than a
+shingle is one shingle. A very long text is one set, held by one task at a time.
+A row without id is linked with nothing, has no component and is kept. Rows that
+share an id are one document; texts under one id are linked. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -34,21 +49,26 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm import shingles
 from orderlens.llm.arrow import by_rows
 from orderlens.llm.components import components
-from orderlens.session import materialize
+from orderlens.session import discard, materialize
 
 PERCENT = 85
-CHUNK = 4
+CHUNK = 6
 CHUNKS = shingles.COMPONENTS // CHUNK
 # Differing components that the keys are guaranteed to find: one for each chunk
 # may be left out, so a pair is missed only with two in every chunk.
 DISTANCE = 2 * CHUNKS - 1
-LEADERS = 64
+# Differing components of candidates whose sets are compared.
+COMPARED = 18
+# Members of a key that are dealt by their shingles.
+HOT = 64
+PROBES = 1
+LEADERS = 256
 GROWTH = 4
 # Members that are compared with a leader in one group.
 BLOCK = 512
@@ -131,7 +151,7 @@ class _Finder:
             F.lit(0),
             lambda n, x: n + x,
         )
-        return pairs.join(one, "a").join(two, "b").filter(apart <= DISTANCE).select("a", "b")
+        return pairs.join(one, "a").join(two, "b").filter(apart <= COMPARED).select("a", "b")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) within the distance whose sets are similar enough; ``a`` leads."""
@@ -166,7 +186,7 @@ class _Finder:
                         group, head, sign = (row["a"], row["block"]), own, signed
                     elif (
                         row["a"] != row["b"]
-                        and np.count_nonzero(sign != signed) <= DISTANCE
+                        and np.count_nonzero(sign != signed) <= COMPARED
                         and shingles.linked(head, own, percent)
                     ):
                         yield {"a": row["a"], "b": row["b"]}
@@ -183,22 +203,28 @@ def _rooted(state: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _unfinished(state: DataFrame) -> DataFrame:
-    """Members of keys with several components, and the largest component of the key."""
+    """Members of keys with several components, the largest component of the key, and how
+    many members are outside it."""
     sizes = state.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     open_keys = (
         sizes.groupBy("key")
-        .agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("parts"))
+        .agg(
+            F.max(F.struct("size", "root")).alias("top"),
+            F.count(F.lit(1)).alias("parts"),
+            F.sum("size").alias("members"),
+        )
         .filter("parts > 1")
-        .select("key", F.col("top.root").alias("largest"))
+        .select(
+            "key",
+            F.col("top.root").alias("largest"),
+            (F.col("members") - F.col("top.size")).alias("outside"),
+        )
     )
     return state.join(open_keys, "key")
 
 
-def _shareable(sets: DataFrame, state: DataFrame) -> DataFrame:
-    """(digest, n, s): size of a set and how many of its shingles another set has.
-
-    Only sets still in ``state`` count, as only those can be linked any more.
-    """
+def _spread(sets: DataFrame, state: DataFrame) -> DataFrame:
+    """(shingle, digest) of the sets that may still be linked."""
     import pyarrow as pa
 
     wanted = sets.join(state.select("digest").distinct(), "digest", "left_semi")
@@ -216,15 +242,23 @@ def _shareable(sets: DataFrame, state: DataFrame) -> DataFrame:
                         [pa.array(part), names], names=["shingle", "digest"]
                     )
 
+    return wanted.select("digest", "members").mapInArrow(spread, "shingle long, digest binary")
+
+
+def _shareable(sets: DataFrame, state: DataFrame) -> DataFrame:
+    """(digest, n, s): size of a set and how many of its shingles another set has.
+
+    Only sets still in ``state`` count, as only those can be linked any more.
+    """
     alone = (
-        wanted.select("digest", "members")
-        .mapInArrow(spread, "shingle long, digest binary")
+        _spread(sets, state)
         .groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("sets"), F.min("digest").alias("digest"))
         .filter("sets = 1")
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("alone"))
     )
+    wanted = sets.join(state.select("digest").distinct(), "digest", "left_semi")
     sizes = wanted.groupBy("digest").agg(
         F.max(F.octet_length("members") / 8).cast("long").alias("n")
     )
@@ -248,19 +282,76 @@ def _linkable(state: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _prefixes(sets: DataFrame, state: DataFrame, percent: int) -> DataFrame:
+    """(key, digest, n, s, place): the shingles of a set under which it meets others.
+
+    ``place`` counts from 1 in the order of the set's shingles, those that no
+    other of these sets has first. Only shingles that others have are listed.
+    """
+    members = state.select("digest", "n").distinct()
+    spread = _spread(sets, members)
+    shared = (
+        spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    )
+    # Sets have as many shingles at most as a text has words.
+    own = Window.partitionBy("digest")
+    by_rarity = own.orderBy("sets", "shingle")
+    least = F.ceil(F.col("n") * percent / 100).cast("long")
+    placed = (
+        spread.join(shared, "shingle")
+        .join(members, "digest")
+        .withColumn("s", F.count(F.lit(1)).over(own))
+        .withColumn("place", F.col("n") - F.col("s") + F.row_number().over(by_rarity))
+    )
+    return placed.filter(F.col("place") <= F.col("n") - least + 1).select(
+        F.xxhash64(F.lit("shingle"), "shingle").alias("key"), "digest", "n", "s", "place"
+    )
+
+
+def _named(first: Column) -> list[Column]:
+    """A member as one side of pairs."""
+    names = {"digest": "a", "root": "root_a", "n": "n_a", "s": "s_a", "place": "place_a"}
+    return [first[name].alias(alias) for name, alias in names.items()]
+
+
+MEMBER = ("digest", "root", "n", "s", "place")
+
+
+def _representatives(active: DataFrame, probe: int) -> DataFrame:
+    """One member of the largest component of every group, another one for each probe."""
+    chance = F.xxhash64(F.lit(probe), "key", "digest")
+    return (
+        active.filter("root = largest")
+        .groupBy("key")
+        .agg(F.min(F.struct(chance.alias("chance"), *MEMBER)).alias("first"))
+        .select("key", *_named(F.col("first")))
+    )
+
+
 def _leaders(active: DataFrame, slots: int) -> DataFrame:
-    """This round's leaders of every unfinished key, one for each slot."""
+    """This round's leaders of every unfinished key, one for each slot.
+
+    Where there are slots for all, each has its own.
+    """
+    chance = F.xxhash64("digest")
+    slot = F.when(F.col("outside") <= slots, chance).otherwise(F.pmod(chance, F.lit(slots)))
     return (
         active.filter("root <> largest")
-        .groupBy("key", F.pmod(F.xxhash64("digest"), F.lit(slots)).alias("slot"))
-        .agg(F.min(F.struct("digest", "root", "n", "s")).alias("first"))
-        .select(
-            "key",
-            F.col("first.digest").alias("a"),
-            F.col("first.root").alias("root_a"),
-            F.col("first.n").alias("n_a"),
-            F.col("first.s").alias("s_a"),
-        )
+        .groupBy("key", slot.alias("slot"))
+        .agg(F.min(F.struct(*MEMBER)).alias("first"))
+        .select("key", *_named(F.col("first")))
+    )
+
+
+def _dealt(state: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members by key, those of hot keys by the shingles under which they meet."""
+    hot = state.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(
+        F.col("members") > HOT
+    )
+    small = state.join(hot, "key", "left_anti").withColumn("place", F.lit(1).cast("long"))
+    large = state.join(hot, "key", "left_semi")
+    return small.select("key", "digest", "n", "s", "place").unionByName(
+        _prefixes(sets, large, percent)
     )
 
 
@@ -293,44 +384,71 @@ def links(
     state = _unfinished(_rooted(members.filter("digest <> leader").drop("leader"), roots))
     state = materialize(state.select("key", "digest"), "unfinished")
     state = materialize(state.join(_shareable(sets, state), "digest"), "unfinished")
-    state = _linkable(state, percent)
-    slots = LEADERS
-    while True:
-        active = materialize(_unfinished(_rooted(state, roots)), "active")
+    state = materialize(_dealt(_linkable(state, percent), sets, percent), "dealt")
+    discard(members)
+    compared = _Compared(finder, checked, roots)
+    active = materialize(_unfinished(_rooted(state, roots)), "active")
+    for probe in range(PROBES):
         if active.isEmpty():
-            return roots
+            break
+        compared.add(_pairs(active, _representatives(active, probe), percent))
+        before = active
+        active = materialize(_unfinished(_rooted(_bare(active), compared.roots)), "active")
+        discard(before)
+    slots = LEADERS
+    while not active.isEmpty():
         leaders = materialize(_leaders(active, slots), "leaders")
-        possible = F.least("s", "s_a") * (100 + percent) >= percent * (F.col("n") + F.col("n_a"))
-        pairs = (
-            leaders.join(
-                active,
-                (leaders["key"] == active["key"])
-                & (F.col("root") != F.col("root_a"))
-                & possible,
-            )
-            .select(F.least("a", "digest").alias("a"), F.greatest("a", "digest").alias("b"))
-            .distinct()
-        )
-        # A pair that another key has led to before was already compared.
-        fresh = pairs.join(
-            checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-            ["a", "b"],
-            "left_anti",
-        )
-        fresh = materialize(fresh, "fresh")
-        if not fresh.isEmpty():
-            checked = checked.unionByName(fresh)
-            more = materialize(finder.linked(fresh), "links")
-            if not more.isEmpty():
-                roots = components(
-                    more.unionByName(
-                        roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-                    )
-                )
-        state = active.join(
-            leaders.select("key", F.col("a").alias("digest")), ["key", "digest"], "left_anti"
-        ).select("key", "digest", "n", "s")
+        compared.add(_pairs(active, leaders, percent))
+        used = leaders.select("key", F.col("a").alias("digest"))
+        rest = active.join(used, ["key", "digest"], "left_anti")
+        before = active
+        active = materialize(_unfinished(_rooted(_bare(rest), compared.roots)), "active")
+        discard(before)
+        discard(leaders)
         slots *= GROWTH
+    return compared.roots
+
+
+def _bare(active: DataFrame) -> DataFrame:
+    return active.select("key", "digest", "n", "s", "place")
+
+
+def _pairs(active: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """The members of each group with those of ``others`` that they may be linked with."""
+    # What both may have in common: shared shingles, and none before their place.
+    rest = F.least(F.col("n") - F.col("place"), F.col("n_a") - F.col("place_a")) + 1
+    common = F.least("s", "s_a", rest)
+    possible = common * (100 + percent) >= percent * (F.col("n") + F.col("n_a"))
+    return (
+        others.join(
+            active,
+            (others["key"] == active["key"]) & (F.col("root") != F.col("root_a")) & possible,
+        )
+        .select(F.least("a", "digest").alias("a"), F.greatest("a", "digest").alias("b"))
+        .distinct()
+    )
+
+
+class _Compared:
+    """The pairs compared so far and the components they have given."""
+
+    def __init__(self, finder: _Finder, pairs: DataFrame, roots: DataFrame) -> None:
+        self.finder, self.pairs, self.roots = finder, pairs, roots
+
+    def add(self, pairs: DataFrame) -> None:
+        """Compare pairs that were not compared before."""
+        # Another key may have led to a pair before.
+        known = self.pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        fresh = materialize(pairs.join(known, ["a", "b"], "left_anti"), "fresh")
+        if fresh.isEmpty():
+            return
+        self.pairs = self.pairs.unionByName(fresh)
+        more = materialize(self.finder.linked(fresh), "links")
+        if not more.isEmpty():
+            so_far = self.roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            before, self.roots = self.roots, components(more.unionByName(so_far))
+            discard(before)
+        discard(more)
 
 
 def near_duplicates(

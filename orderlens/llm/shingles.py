@@ -8,7 +8,7 @@ import re
 import numpy as np
 
 SHINGLE = 5
-COMPONENTS = 40
+COMPONENTS = 42
 # Bytes that are cut into words at once; a longer text is taken in segments.
 SEGMENT = 1 << 18
 # Shingles that are hashed for all components at once.
