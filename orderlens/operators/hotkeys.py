@@ -29,7 +29,10 @@ def frequent(df: DataFrame, key: str, share: int = SHARE) -> DataFrame:
 
 def _small(df: DataFrame) -> bool:
     """Whether the optimizer will send the whole table to every task."""
-    setting = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    setting = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip()
+    if setting.startswith("-"):
+        # A negative size turns broadcasting off; the parser of sizes refuses it.
+        return False
     limit = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting))
     size = input_bytes(df)
     return size is not None and size <= limit

@@ -186,6 +186,14 @@ def test_join_in_parts(spark, settings, how):
     assert set(hot) == {7, 8, None} and hot[7] > hot[None] > hot[8] > 1
 
 
+@pytest.mark.parametrize(("limit", "small"), [("-1", False), ("-1b", False), ("0", False), ("10MB", True)])
+def test_broadcast_limits(spark, settings, tmp_path, limit, small):
+    """Also the negative limit that turns broadcasting off."""
+    spark.range(5).write.parquet(f"{tmp_path}/five")
+    settings(spark__sql__autoBroadcastJoinThreshold=limit)
+    assert hotkeys._small(spark.read.parquet(f"{tmp_path}/five")) is small
+
+
 def test_no_part_holds_a_hot_key(skewed):
     hot = hotkeys.frequent(skewed.order_items, "product_id", 50)
     assert {r["hot_key"]: r["parts"] for r in hot.collect()} == {0: 17}
