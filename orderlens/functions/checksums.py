@@ -17,7 +17,11 @@ def row_hash(columns: list[str]) -> Column:
 
 def of_rows(columns: list[str]) -> list[Column]:
     """Aggregates over rows: how many, and sum and exclusive or of their hashes."""
-    hashed = row_hash(columns)
+    return of_hashes(row_hash(columns))
+
+
+def of_hashes(hashed: Column) -> list[Column]:
+    """The same over rows that were hashed before."""
     return [
         F.count(F.lit(1)).alias("row_count"),
         F.sum(hashed.cast("decimal(28,0)")).cast("decimal(38,0)").alias("hash_sum"),

@@ -23,10 +23,16 @@ SIDES = ("earlier", "later")
 
 
 class ChecksumTree:
-    """Stored checksums of one state of a table."""
+    """Stored checksums of one state of a table.
 
-    def __init__(self, spark: SparkSession, folder: str, key: list[str]) -> None:
+    ``state`` names one of several states that were stored together.
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str, key: list[str], state: str | None = None
+    ) -> None:
         self.spark, self.folder, self.key = spark, folder.rstrip("/"), key
+        self.state = state
 
     @classmethod
     def store(cls, df: DataFrame, folder: str, key: list[str], time: str) -> ChecksumTree:
@@ -36,25 +42,67 @@ class ChecksumTree:
         change, such as that of creation. A key may have any number of rows.
         """
         tree = cls(df.sparkSession, folder, key)
-        placed = df.groupBy(
+        tree._write_keys(tree._hashed(df, time), [])
+        tree._write_upper()
+        return tree
+
+    @classmethod
+    def store_states(
+        cls, states: dict[str, DataFrame], folder: str, key: list[str], time: str
+    ) -> list[ChecksumTree]:
+        """Store the trees of several states of a table in one job, as ``store`` does one.
+
+        What the states are made of in the same way, such as a join, is shuffled once.
+        """
+        spark = next(iter(states.values())).sparkSession
+        trees = [cls(spark, folder, key, state) for state in states]
+        marked = [
+            tree._hashed(df, time).withColumn("state", F.lit(tree.state))
+            for tree, df in zip(trees, states.values())
+        ]
+        cls(spark, folder, key)._write_keys(reduce(DataFrame.unionByName, marked), ["state"])
+        for tree in trees:
+            tree._write_upper()
+        return trees
+
+    def _hashed(self, df: DataFrame, time: str) -> DataFrame:
+        """The day, key and hash of every row."""
+        return df.select(
             F.to_date(F.col(time)).alias("tree_day"),
-            *[F.col(f"`{c}`").alias(f"key_{i}") for i, c in enumerate(key)],
-        ).agg(*checksums.of_rows(sorted(df.columns)))
+            *[F.col(f"`{c}`").alias(f"key_{i}") for i, c in enumerate(self.key)],
+            checksums.row_hash(sorted(df.columns)).alias("row_hash"),
+        )
+
+    def _write_keys(self, hashed: DataFrame, by: list[str]) -> None:
+        """Store the checksums of keys; rows are shuffled once, as hashes, to their days."""
+        names = [f"key_{i}" for i in range(len(self.key))]
+        placed = (
+            hashed.repartition(*by, "tree_day")
+            .groupBy(*by, "tree_day", *names)
+            .agg(*checksums.of_hashes(F.col("row_hash")))
+        )
+        # Sum and exclusive or of a single row are both its hash, which is stored once.
+        several = F.when(F.col("row_count") > 1, F.col("hash_sum"))
         month = F.coalesce(F.date_format("tree_day", "yyyy-MM"), F.lit(NO_MONTH))
-        placed = placed.withColumn("tree_month", month)
+        placed = placed.withColumn("hash_sum", several).withColumn("tree_month", month)
         # One empty file that holds the types, also of an empty table.
-        placed.limit(0).coalesce(1).write.parquet(tree._path("types"))
-        placed.repartition("tree_day").write.partitionBy("tree_month").parquet(tree._path("keys"))
-        tree._keys().groupBy("tree_month", "tree_day").agg(*checksums.of_parts()).write.parquet(
-            tree._path("days")
+        placed.limit(0).coalesce(1).write.parquet(f"{self.folder}/types")
+        placed.sortWithinPartitions(*by, "tree_month", "tree_day", *names).write.partitionBy(
+            *by, "tree_month"
+        ).parquet(f"{self.folder}/keys")
+
+    def _write_upper(self) -> None:
+        """Store the checksums of days and months, made from those of keys."""
+        self._keys().groupBy("tree_month", "tree_day").agg(*checksums.of_parts()).write.parquet(
+            self._path("days")
         )
-        tree.days().groupBy("tree_month").agg(*checksums.of_parts()).coalesce(1).write.parquet(
-            tree._path("months")
+        self.days().groupBy("tree_month").agg(*checksums.of_parts()).coalesce(1).write.parquet(
+            self._path("months")
         )
-        return tree
 
     def _path(self, level: str) -> str:
-        return f"{self.folder}/{level}"
+        part = "" if self.state is None else f"/state={self.state}"
+        return f"{self.folder}/{level}{part}"
 
     def months(self) -> DataFrame:
         return self.spark.read.parquet(self._path("months"))
@@ -63,8 +111,12 @@ class ChecksumTree:
         return self.spark.read.parquet(self._path("days"))
 
     def _keys(self) -> DataFrame:
-        types = self.spark.read.parquet(self._path("types")).schema
-        return self.spark.read.schema(types).parquet(self._path("keys"))
+        types = self.spark.read.parquet(f"{self.folder}/types").schema
+        stored = self.spark.read.schema(types).parquet(f"{self.folder}/keys")
+        if self.state is not None:
+            stored = stored.filter(F.col("state") == self.state).drop("state")
+        single = F.col("hash_xor").cast("decimal(38,0)")
+        return stored.withColumn("hash_sum", F.coalesce("hash_sum", single))
 
     def keys(self, months: list[str]) -> DataFrame:
         """The checksums of the keys of these months; other months are not read."""

@@ -205,6 +205,55 @@ def test_located_differences(spark, tmp_path, seed):
     assert locate(again, trees[1]).filter("change <> 'none' OR level <> 'month'").isEmpty()
 
 
+def test_states_stored_together(spark, tmp_path):
+    """As trees stored one by one; also of a state without rows, of repeated and of NULL keys."""
+    rng = random.Random(7)
+    before = generated(rng, 300) + [(None, 3, 1.0, datetime(2000, 3, 5)), (None, 4, None, None)] * 2
+    states = {"earlier": before, "later": altered(rng, before), "none": []}
+    frames = {n: spark.createDataFrame(rows, SCHEMA) for n, rows in states.items()}
+    trees = ChecksumTree.store_states(frames, f"{tmp_path}/states", ["id"], "made_at")
+    for tree, (name, df) in zip(trees, frames.items()):
+        alone = ChecksumTree.store(df, f"{tmp_path}/{name}", ["id"], "made_at")
+        for level in (lambda t: t.months(), lambda t: t.days(), lambda t: t._keys()):
+            rows = [sorted(map(repr, (r.asDict() for r in level(t).collect()))) for t in (tree, alone)]
+            assert rows[0] == rows[1]
+        direct = df.groupBy("id", F.to_date("made_at").alias("day")).agg(
+            *checksums.of_rows(sorted(df.columns))
+        )
+        stored = tree._keys().select("key_0", "tree_day", *checksums.PARTS)
+        assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
+    found = locate(trees[0], ChecksumTree(spark, f"{tmp_path}/states", ["id"], "later"))
+    assert sorted(map(tuple, found.collect()), key=repr) == by_definition(before, states["later"])
+    assert {r["change"] for r in locate(trees[0], trees[2]).collect()} == {"removed"}
+
+
+def shuffles(df):
+    """The shuffles of a plan that are made and those that are used again."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+    used = plan.count("ReusedExchange")
+    # A shuffle that is used again is printed beside its name.
+    return plan.count(" Exchange ") + plan.count("-Exchange ") - used, used
+
+
+def test_rows_are_shuffled_once_as_hashes(spark, settings, tmp_path, monkeypatch):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    rows = generated(random.Random(3), 200)
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/rows")
+    spark.createDataFrame([(r[0], i) for i, r in enumerate(rows)], "id string, more long").write.parquet(f"{tmp_path}/more")
+    joined = spark.read.parquet(f"{tmp_path}/rows").join(spark.read.parquet(f"{tmp_path}/more"), "id")
+    states = {"all": joined, "some": joined.filter("n + more > 9")}
+    written = []
+    kind = type(joined)
+    sort = kind.sortWithinPartitions
+    monkeypatch.setattr(
+        kind, "sortWithinPartitions", lambda df, *c: written.append(sort(df, *c)) or written[-1]
+    )
+    ChecksumTree.store_states(states, f"{tmp_path}/states", ["id"], "made_at")
+    # Two sides of the join, made once and used by both states, and one for the hashes.
+    assert shuffles(written[0]) == (3, 2)
+
+
 def test_unchanged_months_are_not_descended(spark, tmp_path):
     rng = random.Random(4)
     before = generated(rng, 500)
