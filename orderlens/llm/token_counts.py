@@ -25,8 +25,9 @@ than key and text are not read, and may have any names.
 from __future__ import annotations
 
 import os
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain, islice
 
 from pyspark.sql import DataFrame
@@ -57,21 +58,28 @@ class Chunk:
         self.coded, self.first, self.stop = coded, first, stop
         self.tokens = len(coded)
 
-    def splits(self, low: int, high: int) -> dict[int, int]:
-        """Places in the text from ``low`` to ``high`` before which a pre-token but the
-        first starts, and the number of its first token."""
-        words, offsets = self.coded.word_ids, self.coded.offsets
-
-        def start(offset: tuple[int, int]) -> int:
-            return offset[0]
-
-        near = bisect_left(offsets, low - self.first, key=start)
-        far = bisect_right(offsets, high - self.first, key=start)
-        return {
-            self.first + offsets[i][0]: i
-            for i in range(max(near, 1), far)
-            if words[i] != words[i - 1]
-        }
+    def start(self, token: int) -> int:
+        """The place in the text where a token starts."""
+        return self.first + self.coded.token_to_chars(token)[0]
+
+    def splits(self, stop: int) -> Iterator[tuple[int, int]]:
+        """Places up to ``stop`` before which a pre-token but the first starts, and its
+        first token. The library is asked token by token: few are looked at."""
+        word = self.coded.token_to_word
+        for token in range(1, self.tokens):
+            if word(token) != word(token - 1):
+                place = self.start(token)
+                if place > stop:
+                    return
+                yield place, token
+
+    def split_at(self, place: int) -> int | None:
+        """The first token of the pre-token but the first that starts at this place."""
+        token = bisect_left(range(self.tokens), place, key=self.start)
+        if not 0 < token < self.tokens or self.start(token) != place:
+            return None
+        word = self.coded.token_to_word
+        return token if word(token) != word(token - 1) else None
 
 
 def spliced_count(
@@ -95,14 +103,15 @@ def spliced_count(
     while here.stop < size:
         first = max(here.stop - width, here.first + 1)
         there = part(first, min(first + max(chunk, 2 * width), size))
-        trusted = here.stop - margin
-        before = here.splits(first, trusted)
-        after = there.splits(first, trusted)
-        common = [p for p in before.keys() & after.keys() if before[p] >= skipped]
-        if common:
-            place = min(common)
-            counted += before[place] - skipped
-            here, skipped, width = there, after[place], overlap
+        for place, after in there.splits(here.stop - margin):
+            before = here.split_at(place)
+            if before is not None and before >= skipped:
+                break
+        else:
+            before = None
+        if before is not None:
+            counted += before - skipped
+            here, skipped, width = there, after, overlap
         elif first == here.first + 1:
             here = part(here.first, min(here.stop + max(chunk, here.stop - here.first), size))
             width = overlap
@@ -137,18 +146,25 @@ class Encodings:
         return coded
 
 
+@lru_cache(maxsize=2)
+def loaded(path: str):
+    """The tokenizer of a file, read once per worker process."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 class Counter:
     """Counts tokens with a tokenizer file, as the library does by default."""
 
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         if 2 * overlap > chunk:
             raise ValueError("a chunk must be longer than two overlaps")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = loaded(path)
         added = self.tokenizer.get_added_tokens_decoder()
         self.margin = max([2, *(len(t.content) + 1 for t in added.values())])
         self.chunk, self.overlap = chunk, overlap

@@ -88,6 +88,35 @@ def test_many_documents_are_spliced(texts):
     assert sum(len(p) > 1 for p in plans) >= 0.1 * len(whole)
 
 
+def test_few_places_are_asked_for(library):
+    """Splicing looks at the places of an overlap, never at the offsets of whole chunks."""
+
+    class Coded:
+        asked = 0
+
+        def __init__(self, coded):
+            self.coded = coded
+
+        def __len__(self):
+            return len(self.coded)
+
+        def __getattr__(self, name):
+            assert name not in ("offsets", "word_ids")
+            Coded.asked += 1
+            return getattr(self.coded, name)
+
+    counter = token_counts.Counter(PATH, 64, 16)
+    encode, made = counter.encode, []
+    counter.encode = lambda parts: made.extend(parts) or [Coded(c) for c in encode(parts)]
+    text = "some words of a text that goes on " * 100
+    assert counter.count([text]) == [counted(library, text)]
+    assert len(made) > 60 and Coded.asked <= 40 * len(made)
+
+
+def test_one_tokenizer_per_process():
+    assert token_counts.Counter(PATH).tokenizer is token_counts.Counter(PATH, 64, 16).tokenizer
+
+
 def test_chunks_shorter_than_overlaps_are_refused():
     with pytest.raises(ValueError, match="two overlaps"):
         token_counts.Counter(PATH, 10, 6)
